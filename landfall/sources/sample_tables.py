@@ -6,131 +6,130 @@ stray characters, unknown codes and nulls so that each cleaning rule has work to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Schemas of the order tables, declared so that no scan opens files to infer them.
+SCHEMAS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+}
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _numbered(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 9, "0"))
 
-
-def _state_code(nation: Column) -> Column:
-    return F.concat(F.lit("S"), F.translate((nation % 5).cast("string"), "01234", "ABCDE"))
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """One arrival per line item, with its order's date and its customer's country."""
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
-    customers = table(spark, folder, "customer")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        customers, F.col("o_custkey") == F.col("c_custkey")
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey",
+        """CASE WHEN l_linestatus = 'F' THEN 1D
+                ELSE CASE l_returnflag WHEN 'R' THEN 1.9D WHEN 'A' THEN 2D END END AS i94mode""",
+        """concat(CASE WHEN l_returnflag = 'R' THEN 'S-' ELSE 'Supplier#' END,
+                  (l_suppkey + l_linenumber) % 12) AS i94port""",
+        """CAST(CASE WHEN l_quantity <> 50 THEN floor(l_quantity / 2) * 4 - 4 END AS double)
+             AS i94bir""",
+        "l_tax <> 0 OR l_discount <> 0 AS dated",
     )
-    day = F.to_date("o_orderdate")
-    port_number = (F.col("l_suppkey") + F.col("l_linenumber")) % 12
-    undated = (F.col("l_tax") == 0) & (F.col("l_discount") == 0)
-    first_of_month = F.date_diff(F.trunc(day, "month"), F.lit("1960-01-01").cast("date"))
-    other_mode = F.when(F.col("l_returnflag") == "R", 1.9).when(
-        F.col("l_returnflag") == "A", 2.0
+    orders = table(spark, folder, "orders").selectExpr(
+        "o_orderkey",
+        "o_custkey",
+        """CAST(date_diff(trunc(CAST(o_orderdate AS date), 'month'), DATE'1960-01-01') AS double)
+             AS month_start""",
+        "CAST(year(o_orderdate) AS double) AS i94yr",
+        "CAST(month(o_orderdate) AS double) AS i94mon",
+        "CASE WHEN o_orderstatus = 'P' THEN 'P' ELSE o_orderpriority END AS visatype",
     )
-    return rows.select(
-        F.when(F.col("l_linestatus") == "F", 1.0).otherwise(other_mode).alias("i94mode"),
-        F.when(F.col("c_acctbal") < 0, 999.0)
-        .otherwise((F.col("c_nationkey") % 5).cast("double"))
-        .alias("i94res"),
-        F.when(F.col("l_returnflag") == "R", _numbered("S-", port_number))
-        .otherwise(_numbered("Supplier#", port_number))
-        .alias("i94port"),
-        F.when(~undated, first_of_month.cast("double")).alias("arrdate"),
-        F.year(day).cast("double").alias("i94yr"),
-        F.month(day).cast("double").alias("i94mon"),
-        F.when(F.col("l_quantity") != 50, F.floor(F.col("l_quantity") / 2) * 4 - 4)
-        .cast("double")
-        .alias("i94bir"),
-        F.when(F.col("o_orderstatus") == "P", F.col("o_orderstatus"))
-        .otherwise(F.col("o_orderpriority"))
-        .alias("visatype"),
+    customers = table(spark, folder, "customer").selectExpr(
+        "c_custkey",
+        "CAST(CASE WHEN c_acctbal < 0 THEN 999 ELSE c_nationkey % 5 END AS double) AS i94res",
+    )
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
+        customers, orders.o_custkey == customers.c_custkey
+    )
+    return rows.selectExpr(
+        "i94mode",
+        "i94res",
+        "i94port",
+        "CASE WHEN dated THEN month_start END AS arrdate",
+        "i94yr",
+        "i94mon",
+        "i94bir",
+        "visatype",
     )
 
 
 def raw_ports(spark: SparkSession, folder: str) -> DataFrame:
     """One port row per supplier; ten codes, so most rows repeat a code."""
-    nation = F.col("s_nationkey")
-    return table(spark, folder, "supplier").select(
-        _numbered("Supplier#", F.col("s_suppkey") % 10).alias("Code"),
-        F.concat(F.lit(" Town  "), nation.cast("string"), F.lit(". ")).alias("City"),
-        F.concat(_state_code(nation), F.lit("* ")).alias("State"),
+    return table(spark, folder, "supplier").selectExpr(
+        "concat('Supplier#', s_suppkey % 10) AS Code",
+        "concat(' Town  ', s_nationkey, '. ') AS City",
+        "concat('S', char(65 + s_nationkey % 5), '* ') AS State",
     )
 
 
 def raw_visas(spark: SparkSession, folder: str) -> DataFrame:
     """One visa row per order."""
-    return table(spark, folder, "orders").select(
-        F.col("o_orderpriority").alias("Visa Type"),
-        F.concat(
-            F.lit("Séjour\u00a0"), F.col("o_orderstatus"), F.lit(" – "), F.col("o_orderpriority")
-        ).alias("Purpose"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderpriority AS `Visa Type`",
+        "concat('Séjour\u00a0', o_orderstatus, ' – ', o_orderpriority) AS Purpose",
     )
 
 
 def raw_countries(spark: SparkSession, folder: str) -> DataFrame:
     """One country row per customer; codes share names, and some codes are no numbers."""
-    nation = F.col("c_nationkey")
-    code = nation.cast("string")
-    return table(spark, folder, "customer").select(
-        F.when(F.col("c_acctbal") < 0, F.concat(F.lit("x"), code))
-        .when(F.col("c_mktsegment") == "BUILDING", F.concat(code, F.lit(".5")))
-        .otherwise(code)
-        .alias("Country_code"),
-        F.concat(F.lit("Land "), (nation % 3).cast("string")).alias("Country"),
+    return table(spark, folder, "customer").selectExpr(
+        """CASE WHEN c_acctbal < 0 THEN concat('x', c_nationkey)
+                WHEN c_mktsegment = 'BUILDING' THEN concat(c_nationkey, '.5')
+                ELSE CAST(c_nationkey AS string) END AS Country_code""",
+        "concat('Land ', c_nationkey % 3) AS Country",
     )
 
 
 def raw_demographics(spark: SparkSession, folder: str) -> DataFrame:
     """One row per nation and market segment with figures over its customers."""
-    nation = F.col("c_nationkey")
-    balance = F.col("c_acctbal")
     per_segment = table(spark, folder, "customer").groupBy("c_nationkey", "c_mktsegment")
     figures = per_segment.agg(
-        F.min(balance).alias("lowest"),
-        F.max(balance).alias("highest"),
-        F.count(F.lit(1)).cast("int").alias("n"),
-        F.count_if(balance < 5000).cast("int").alias("n_low"),
-        F.count_if(balance < 0).cast("int").alias("n_negative"),
+        F.expr("min(c_acctbal) AS lowest"),
+        F.expr("max(c_acctbal) AS highest"),
+        F.expr("int(count(1)) AS n"),
+        F.expr("int(count_if(c_acctbal < 5000)) AS n_low"),
+        F.expr("int(count_if(c_acctbal < 0)) AS n_negative"),
     )
-    return figures.select(
-        F.concat(F.lit("TOWN "), nation.cast("string")).alias("City"),
-        F.concat(F.lit("State "), (nation % 5).cast("string")).alias("State"),
-        F.concat(F.lit("0"), _state_code(nation), F.lit(".")).alias("State Code"),
-        F.col("lowest").alias("Median Age"),
-        F.col("n_low").alias("Male Population"),
-        (F.col("n") - F.col("n_low")).alias("Female Population"),
-        F.col("n").alias("Total Population"),
-        F.col("n_negative").alias("Number of Veterans"),
-        F.col("highest").alias("Average Household Size"),
+    return figures.selectExpr(
+        "concat('TOWN ', c_nationkey) AS City",
+        "concat('State ', c_nationkey % 5) AS State",
+        "concat('0S', char(65 + c_nationkey % 5), '.') AS `State Code`",
+        "lowest AS `Median Age`",
+        "n_low AS `Male Population`",
+        "n - n_low AS `Female Population`",
+        "n AS `Total Population`",
+        "n_negative AS `Number of Veterans`",
+        "highest AS `Average Household Size`",
     )
 
 
 def country_codes(spark: SparkSession, folder: str) -> DataFrame:
     """A country code list: one code per nation, some of them marked as unusable."""
-    nation = F.col("n_nationkey")
-    prefix = (
-        F.when(nation % 5 == 1, "INVALID: ")
-        .when(nation % 5 == 2, "Collapsed ")
-        .when(nation % 5 == 3, "No Country Code ")
-        .otherwise("")
-    )
-    return table(spark, folder, "nation").select(
-        nation.alias("code"), F.concat(prefix, "n_name").alias("label")
+    return table(spark, folder, "nation").selectExpr(
+        "n_nationkey AS code",
+        """concat(CASE n_nationkey % 5 WHEN 1 THEN 'INVALID: ' WHEN 2 THEN 'Collapsed '
+                                     WHEN 3 THEN 'No Country Code ' ELSE '' END, n_name)
+             AS label""",
     )
 
 
 def port_codes(spark: SparkSession, folder: str) -> DataFrame:
     """A port code list: one code and label per supplier."""
-    return table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("code"), F.col("s_name").alias("label")
-    )
+    return table(spark, folder, "supplier").selectExpr("s_suppkey AS code", "s_name AS label")

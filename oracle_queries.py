@@ -10,7 +10,7 @@ WITH raw_arrivals AS (
                    WHEN l_returnflag = 'A' THEN 2.0 END AS DOUBLE) AS i94mode,
          CAST(CASE WHEN c_acctbal < 0 THEN 999 ELSE c_nationkey % 5 END AS DOUBLE) AS i94res,
          CASE WHEN l_returnflag = 'R' THEN 'S-' ELSE 'Supplier#' END
-           || lpad(CAST((l_suppkey + l_linenumber) % 12 AS VARCHAR), 9, '0') AS i94port,
+           || ((l_suppkey + l_linenumber) % 12) AS i94port,
          CASE WHEN l_tax <> 0 OR l_discount <> 0
               THEN CAST(date_diff('day', DATE '1960-01-01',
                                   CAST(date_trunc('month', o_orderdate) AS DATE)) AS DOUBLE)
@@ -24,7 +24,7 @@ WITH raw_arrivals AS (
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
 ), raw_ports AS (
-  SELECT 'Supplier#' || lpad(CAST(s_suppkey % 10 AS VARCHAR), 9, '0') AS "Code",
+  SELECT 'Supplier#' || (s_suppkey % 10) AS "Code",
          ' Town  ' || s_nationkey || '. ' AS "City",
          'S' || substr('ABCDE', CAST(s_nationkey % 5 + 1 AS INTEGER), 1) || '* ' AS "State"
   FROM supplier

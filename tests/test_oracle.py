@@ -1,4 +1,7 @@
-"""Every registered query against its SQL, over whole tables."""
+"""Every registered query against its SQL, over whole tables.
+
+Set ``ORACLE_SF_DIR`` to compare at another scale.
+"""
 
 import os
 
@@ -7,7 +10,7 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, duckdb_result, spark_result
 
-FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
