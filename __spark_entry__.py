@@ -53,7 +53,7 @@ def _cities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _dates(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.dim_dates(_clean(spark, folder))
+    return dims.dim_dates(_clean(spark, folder, dedupe=False))
 
 
 def _lake(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -14,7 +14,7 @@ ASCII_CHARS = r"\x00-\x7F"
 
 
 def _keep(text: Column | str, chars: str) -> Column:
-    return F.regexp_replace(text, f"[^{chars}]", "")
+    return F.regexp_replace(text, f"[^{chars}]+", "")
 
 
 def clean_code(text: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,8 +93,8 @@ def decode(
 
 def state_labels(spark: SparkSession) -> DataFrame:
     """The state code list as a table; its 55 rows are fixed, so it may be broadcast."""
-    rows = list(STATE_LABELS.items())
-    return F.broadcast(spark.createDataFrame(rows, "code string, label string"))
+    listed = F.from_json(F.lit(json.dumps(STATE_LABELS)), "map<string,string>")
+    return F.broadcast(spark.range(0, 1, 1, 1).select(F.explode(listed).alias("code", "label")))
 
 
 def split_port_label(df: DataFrame, label: str, city: str = "City", state: str = "State"):

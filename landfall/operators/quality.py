@@ -70,33 +70,37 @@ def _union(reports: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def _count_lines(df: DataFrame, rule: TableRule, rows: bool, nulls: bool) -> DataFrame:
-    """Row count and null counts of all keys in one pass over the table."""
-    aggregates, lines = [], []
+def _table_report(df: DataFrame, rule: TableRule, rows: bool = True) -> DataFrame:
+    """All checks of a table in one pass over it.
+
+    Without the uniqueness check that is a plain aggregate. With it the rows are first counted
+    per key, with a partial count in each task, and the other checks weigh those counts.
+    """
+    keys = [F.col(quoted(key)) for key in rule.keys]
+    unique = rule.unique and bool(keys)
+    if unique:
+        df_counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows_where = lambda condition: F.sum(F.when(condition, F.col("_n")))
+    else:
+        df_counts = df
+        rows_where = F.count_if
+    aggregates = [F.coalesce(rows_where(F.lit(True)), F.lit(0)).alias("n_rows")]
+    for i, key in enumerate(keys):
+        aggregates.append(F.coalesce(rows_where(key.isNull()), F.lit(0)).alias(f"nulls_{i}"))
+    if unique:
+        aggregates.append(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("repeated"))
+
+    lines = []
     if rows:
-        aggregates.append(F.count(F.lit(1)).alias("n_rows"))
         passed = (F.col("n_rows") > 0) & F.lit(len(df.columns) > 0)
         lines.append(_line(rule.table, NOT_EMPTY, None, passed, F.lit(0)))
-    if nulls:
-        for i, key in enumerate(rule.keys):
-            aggregates.append(F.count_if(F.col(quoted(key)).isNull()).alias(f"nulls_{i}"))
-            bad = F.col(f"nulls_{i}")
-            lines.append(_line(rule.table, NOT_NULL, key, bad == 0, bad))
-    return _lines(df.agg(*aggregates), lines)
-
-
-def _unique_line(df: DataFrame, rule: TableRule) -> DataFrame:
-    groups = df.groupBy(*[quoted(key) for key in rule.keys]).agg(F.count(F.lit(1)).alias("n"))
-    extra = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra"))
-    bad = F.col("extra")
-    return _lines(extra, [_line(rule.table, UNIQUE, ", ".join(rule.keys), bad == 0, bad)])
-
-
-def _table_report(df: DataFrame, rule: TableRule) -> DataFrame:
-    report = _count_lines(df, rule, rows=True, nulls=True)
-    if rule.unique and rule.keys:
-        report = report.unionByName(_unique_line(df, rule))
-    return report
+    for i, key in enumerate(rule.keys):
+        bad = F.col(f"nulls_{i}")
+        lines.append(_line(rule.table, NOT_NULL, key, bad == 0, bad))
+    if unique:
+        bad = F.col("repeated")
+        lines.append(_line(rule.table, UNIQUE, ", ".join(rule.keys), bad == 0, bad))
+    return _lines(df_counts.agg(*aggregates), lines)
 
 
 def row_count_report(tables: Mapping[str, DataFrame], rules: Sequence[TableRule]) -> DataFrame:
@@ -120,7 +124,7 @@ def row_count_report(tables: Mapping[str, DataFrame], rules: Sequence[TableRule]
 def null_key_report(tables: Mapping[str, DataFrame], rules: Sequence[TableRule]) -> DataFrame:
     """Null count of each key column; all keys of a table are counted in one pass."""
     return _union(
-        [_count_lines(tables[r.table], r, rows=False, nulls=True) for r in rules if r.keys]
+        [_table_report(tables[r.table], r, rows=False) for r in rules if r.keys]
     )
 
 

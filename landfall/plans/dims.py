@@ -72,9 +72,9 @@ def dim_ports(raw: DataFrame, collapse_all: bool = False) -> DataFrame:
 def dim_dates(arrivals: DataFrame) -> DataFrame:
     """Arrival dates with their parts, unique on the date.
 
-    ``arrivals`` may be the cleaned arrivals or the fact; both hold the same dates. Year and
-    month are those of the arrival record. The distinct comes first because it shrinks any
-    number of arrivals to a few rows per day before they are shuffled.
+    ``arrivals`` may be the cleaned arrivals, de-duplicated or not, or the fact: all hold the
+    same dates. Year and month are those of the arrival record. The distinct comes first
+    because it shrinks any number of arrivals to a few rows per day before they are shuffled.
     """
     seen = distinct_of(arrivals, ["arrival_date", "arrival_date_year", "arrival_date_month"])
     return first_per_key(seen, ["arrival_date"]).select(
