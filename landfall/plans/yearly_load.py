@@ -124,7 +124,9 @@ def load_summaries(
     """Write the four summaries, partitioned by year.
 
     By default they are rebuilt for all years from the current tables, so a changed label or
-    a late record shows everywhere. With ``years`` only those partitions are read and replaced.
+    a late record shows everywhere. With ``years`` only the summaries of those years are
+    replaced, reading only their part of the fact (the weekday summary, whose year comes from
+    the date table, reads the dates and counts of all years).
     """
     t = read_lake(spark, lake)
     years = None if years is None else list(years)

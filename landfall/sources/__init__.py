@@ -1,5 +1,6 @@
 """Reading and writing files."""
 
+from landfall.sources import sample_tables
 from landfall.sources.files import read_arrivals, read_csv, read_table, month_paths
 from landfall.sources.scratch import scratch_folder
 from landfall.sources.sinks import append, overwrite, write_csv, write_partitioned
@@ -11,6 +12,7 @@ __all__ = [
     "read_arrivals",
     "read_csv",
     "read_table",
+    "sample_tables",
     "scratch_folder",
     "write_csv",
     "write_partitioned",

@@ -71,11 +71,13 @@ def raw_arrivals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_ports(spark: SparkSession, folder: str) -> DataFrame:
-    """One port row per supplier; ten codes, so most rows repeat a code."""
+    """One port row per supplier: ten codes in eight towns, spelled in several ways."""
     return table(spark, folder, "supplier").selectExpr(
         "concat('Supplier#', s_suppkey % 10) AS Code",
-        "concat(' Town  ', s_nationkey, '. ') AS City",
-        "concat('S', char(65 + s_nationkey % 5), '* ') AS State",
+        """concat(' Town  ', s_suppkey % 10 % 8,
+                  CASE WHEN s_nationkey < 5 THEN '. ' ELSE concat('  (', s_nationkey, ')') END)
+             AS City""",
+        "concat('S', char(65 + s_suppkey % 10 % 8 % 5), '* ') AS State",
     )
 
 

@@ -16,8 +16,9 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """CSV with a header line."""
-    df.write.mode("overwrite").options(header=True, sep=sep).csv(path)
+    """CSV with a header line; spaces at the ends of a field are kept."""
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, sep=sep, **spaces).csv(path)
 
 
 def write_partitioned(

@@ -25,8 +25,9 @@ WITH raw_arrivals AS (
   JOIN customer ON o_custkey = c_custkey
 ), raw_ports AS (
   SELECT 'Supplier#' || (s_suppkey % 10) AS "Code",
-         ' Town  ' || s_nationkey || '. ' AS "City",
-         'S' || substr('ABCDE', CAST(s_nationkey % 5 + 1 AS INTEGER), 1) || '* ' AS "State"
+         ' Town  ' || (s_suppkey % 10 % 8)
+           || CASE WHEN s_nationkey < 5 THEN '. ' ELSE '  (' || s_nationkey || ')' END AS "City",
+         'S' || substr('ABCDE', CAST(s_suppkey % 10 % 8 % 5 + 1 AS INTEGER), 1) || '* ' AS "State"
   FROM supplier
 ), raw_visas AS (
   SELECT o_orderpriority AS "Visa Type",

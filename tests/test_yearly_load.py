@@ -3,8 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
-from landfall.operators import DataQualityError
+import __spark_entry__ as contract
+from compare import connect, duckdb_result, spark_result
+from landfall.operators import DEFAULT_RULES, DataQualityError, TableRule
 from landfall.plans.yearly_load import Inputs, Lake, load_summaries, load_year, read_lake, read_summaries
 from landfall.schemas import RAW_ARRIVALS
 from landfall.sources import (
@@ -13,11 +16,12 @@ from landfall.sources import (
     read_arrivals,
     read_csv,
     read_table,
+    sample_tables,
     scratch_folder,
     write_csv,
     write_partitioned,
 )
-from landfall.sources.files import MONTHS
+from landfall.sources.files import MONTH_FILE, MONTHS
 
 
 def write(path, text):
@@ -138,6 +142,42 @@ def test_an_empty_year_fails_the_gate(spark, folder):
     assert error.value.failures[0].check_name == "not_empty"
 
 
+def test_load_of_the_sample_tables_matches_sql(spark, folder):
+    """Landing files to stored summaries, against the same star schema in SQL."""
+    data = "/root/testdata/sf0.001"
+    landed = sample_tables.raw_arrivals(spark, data).withColumn(
+        "file", F.expr("concat('i94_', lower(date_format(make_date(2016, int(i94mon), 1), 'MMM')), '16_sub')")
+    )
+    write_partitioned(landed, folder + "/arrivals", ["file"])
+    write_csv(sample_tables.raw_ports(spark, data), folder + "/ports")
+    write_csv(sample_tables.raw_visas(spark, data), folder + "/visas")
+    write_csv(sample_tables.raw_countries(spark, data), folder + "/countries")
+    write_csv(sample_tables.raw_demographics(spark, data), folder + "/cities", sep=";")
+    source = Inputs(
+        *[f"{folder}/{name}" for name in ("arrivals", "ports", "visas", "countries", "cities")],
+        month_file="file=" + MONTH_FILE,
+    )
+    lake = Lake(folder + "/lake", folder + "/summaries")
+    rules = [TableRule(rule.table) for rule in DEFAULT_RULES]
+    load_year(spark, 2016, source, lake, rules)
+    stored = {**read_lake(spark, lake), **read_summaries(spark, lake)}
+    sql = contract.oracle_sql()
+    pairs = {
+        "US_Visas": "dim_visas",
+        "country_codes": "dim_countries",
+        "cities_demographics": "dim_cities",
+        "arrival_dates": "dim_dates",
+        "immigration_fact": "fact_arrivals",
+        "weekday": "stats_weekday",
+        "visa": "stats_visa",
+        "country": "stats_country",
+        "city": "stats_city",
+    }
+    con = connect(data)
+    for table, query in pairs.items():
+        assert spark_result(stored[table]) == duckdb_result(con, sql[query]), table
+
+
 def test_month_paths():
     paths = month_paths("root/", "2016", suffix=".parquet")
     assert paths[0] == "root/i94_jan16_sub.parquet" and len(paths) == len(MONTHS) == 12
