@@ -16,6 +16,7 @@ from landfall.functions import (
     clean_state_code,
     clean_state_text,
     collapse_spaces,
+    day_number_to_date,
     day_of_month,
     text_to_int,
     to_int,
@@ -76,7 +77,11 @@ def dim_dates(arrivals: DataFrame) -> DataFrame:
     same dates. Year and month are those of the arrival record. The distinct comes first
     because it shrinks any number of arrivals to a few rows per day before they are shuffled.
     """
-    seen = distinct_of(arrivals, ["arrival_date", "arrival_date_year", "arrival_date_month"])
+    day = "arrdate" if "arrdate" in arrivals.columns else "arrival_date"
+    seen = distinct_of(arrivals, [day, "arrival_date_year", "arrival_date_month"])
+    if day == "arrdate":
+        # The date text is made once per day, not once per arrival.
+        seen = seen.withColumn("arrival_date", day_number_to_date(day)).drop(day)
     return first_per_key(seen, ["arrival_date"]).select(
         "arrival_date",
         "arrival_date_year",
