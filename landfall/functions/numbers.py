@@ -17,5 +17,5 @@ def to_int(number: Column | str) -> Column:
 
 def text_to_int(text: Column | str) -> Column:
     """Text to int: a sign, digits and a decimal part (cut off) are read, all else is null."""
-    whole = F.regexp_extract(text, r"^([+-]?[0-9]+)([.][0-9]*)?$", 1)
+    whole = F.regexp_extract(text, r"^([+-]?[0-9]+)([.][0-9]*)?\z", 1)
     return whole.try_cast("int")

@@ -97,7 +97,9 @@ def state_labels(spark: SparkSession) -> DataFrame:
     return F.broadcast(spark.range(0, 1, 1, 1).select(F.explode(listed).alias("code", "label")))
 
 
-def split_port_label(df: DataFrame, label: str, city: str = "City", state: str = "State"):
+def split_port_label(
+    df: DataFrame, label: str, city: str = "City", state: str = "State"
+) -> DataFrame:
     """Add city and state, read from a port label."""
     return df.withColumns({city: port_label_city(label), state: port_label_state(label)})
 

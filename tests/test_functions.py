@@ -87,8 +87,8 @@ def test_to_int_gives_null_for_bad_numbers(spark):
 
 
 def test_text_to_int(spark):
-    values = ["24", "24.9", "-3", "+3", "x", "", " 5", "1e3", "99999999999", None]
-    expected = [24, 24, -3, 3, None, None, None, None, None, None]
+    values = ["24", "24.9", "-3", "+3", "x", "", " 5", "1e3", "99999999999", "5\n", None]
+    expected = [24, 24, -3, 3, None, None, None, None, None, None, None]
     assert apply(spark, fn.text_to_int, values, "string") == expected
 
 

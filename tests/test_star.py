@@ -23,7 +23,8 @@ BASE = dict(
 
 def arrivals(spark, *changes):
     rows = [{**BASE, **change} for change in changes]
-    return spark.createDataFrame([tuple(r[n] for n in RAW_ARRIVALS.names) for r in rows], RAW_ARRIVALS)
+    values = [tuple(r[n] for n in RAW_ARRIVALS.names) for r in rows]
+    return spark.createDataFrame(values, RAW_ARRIVALS)
 
 
 def ports(spark, *rows):
@@ -53,8 +54,8 @@ def rows(df):
 
 
 def counts(spark, *changes, **options):
-    raw = arrivals(spark, *changes)
-    return [r["count"] for r in fact_arrivals(clean_arrivals(raw, **options), ports(spark)).collect()]
+    clean = clean_arrivals(arrivals(spark, *changes), **options)
+    return [r["count"] for r in fact_arrivals(clean, ports(spark)).collect()]
 
 
 def test_equal_arrivals_count_once(spark):
@@ -68,7 +69,8 @@ def test_rows_equal_only_after_cleaning_both_count(spark):
 
 
 def test_mode_is_compared_uncast(spark):
-    raw = arrivals(spark, *[{"i94mode": m, "i94bir": 20.0 + i} for i, m in enumerate((1.0, 1.9, 2.0, None))])
+    modes = (1.0, 1.9, 2.0, None)
+    raw = arrivals(spark, *[{"i94mode": m, "i94bir": 20.0 + i} for i, m in enumerate(modes)])
     assert [r.i94bir for r in clean_arrivals(raw).collect()] == [20]
 
 
@@ -106,14 +108,37 @@ def test_first_per_key_of_keys_only(spark):
     assert rows(first_per_key(df, ["a", "b"])) == [(1, 2)]
 
 
-def test_first_per_key_shuffles_one_row_per_key_and_task(spark):
-    df = spark.range(100000).selectExpr("'hot' AS key", "id AS v").repartition(8)
-    plan = first_per_key(df, ["key"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan
+def shuffled_records(df):
+    """Records written by the first exchange of a query that has run."""
+    plan = df._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    while plan.children().size() or plan.getClass().getSimpleName() == "ShuffleQueryStageExec":
+        if plan.getClass().getSimpleName() == "ShuffleQueryStageExec":
+            plan = plan.plan()
+        if plan.getClass().getSimpleName() == "ShuffleExchangeExec":
+            return plan.metrics().apply("shuffleRecordsWritten").value()
+        plan = plan.children().apply(0)
+    raise AssertionError("no exchange")
 
 
-def test_hot_key_is_split_before_the_shuffle(spark):
-    """A third of all rows share one key; the result equals plain Python's."""
+def test_a_hot_key_sends_one_row_per_task(spark):
+    """A third of all rows share one key, and are combined before the shuffle."""
+    df = spark.range(0, 90000, 1, 8).selectExpr("if(id % 3 = 0, 0, id % 50) AS k", "id AS v")
+    for result in (first_per_key(df, ["k"]), df.select("k").distinct()):
+        assert len(result.collect()) == 50
+        assert shuffled_records(result) <= 8 * 50
+
+
+def test_equal_arrivals_collapse_before_the_shuffle(spark, folder):
+    arrivals(spark, {}).selectExpr("*", "explode(sequence(1, 40000)) AS n").repartition(
+        8
+    ).drop("n").write.parquet(folder + "/raw")
+    raw = spark.read.parquet(folder + "/raw")
+    clean = clean_arrivals(raw)
+    assert len(clean.collect()) == 1
+    assert shuffled_records(clean) <= 8
+
+
+def test_first_per_key_matches_python(spark):
     data = [("hot" if i % 3 == 0 else f"k{i}", i) for i in range(3000)]
     df = spark.createDataFrame(data, "key string, v int")
     expected = {}
@@ -238,7 +263,8 @@ def test_city_inflow_counts_each_arrival_once(spark):
         columns,
     )
     f = fact(spark, {}, {"City": None, "State": None}, {"City": "ALBANY"})
-    result = rows(answers.city_inflow_demographics(f, cities).select("City", "sum_count", "Median_Age"))
+    inflow = answers.city_inflow_demographics(f, cities)
+    result = rows(inflow.select("City", "sum_count", "Median_Age"))
     assert sorted(result, key=str) == sorted(
         [("NEW YORK", 1, 36.0), (None, 1, None), ("ALBANY", 1, None)], key=str
     )

@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from compare import connect, duckdb_result, spark_result
 from landfall.operators import DEFAULT_RULES, DataQualityError, TableRule
-from landfall.plans.yearly_load import Inputs, Lake, load_summaries, load_year, read_lake, read_summaries
-from landfall.schemas import RAW_ARRIVALS
+from landfall.plans import stats
+from landfall.plans.yearly_load import (
+    Inputs,
+    Lake,
+    load_summaries,
+    load_year,
+    read_lake,
+    read_summaries,
+)
+from landfall.schemas import LAKE_TABLES, RAW_ARRIVALS
 from landfall.sources import (
     month_paths,
     overwrite,
@@ -41,8 +49,14 @@ def land(spark, folder, year, rows, file_format="parquet"):
 
 
 def inputs(folder, **options):
-    write(folder + "/ports.csv", "Code,City,State,Extra\n'JFK',NEW  YORK.,NY,1\nLGA,NEW YORK,NY,2\n")
-    write(folder + "/visas.csv", "Visa Type,Purpose\r\nB-1,Business trip\r\nB-1,Business trip\r\n")
+    write(
+        folder + "/ports.csv",
+        "Code,City,State,Extra\n'JFK',NEW  YORK.,NY,1\nLGA,NEW YORK,NY,2\n",
+    )
+    write(
+        folder + "/visas.csv",
+        "Visa Type,Purpose\r\nB-1,Business\u00a0trip\r\nB-1,Business\u00a0trip\r\n",
+    )
     write(
         folder + "/countries.csv",
         'Country_code,Country\r\n582,"MEXICO, all"\r\n209,JAPAN\r\n209,JAPAN\r\n',
@@ -111,7 +125,8 @@ def test_a_stray_year_keeps_other_loads_whole(spark, folder):
     lake = Lake(folder + "/lake", folder + "/summaries")
     source = inputs(folder)
     land(spark, folder, 2015, {12: [arrival(day=20453.0, year=2015.0, month=12.0)]})
-    land(spark, folder, 2016, {1: [arrival(), arrival(day=20453.0, year=2015.0, month=12.0, age=40.0)]})
+    stray = arrival(day=20453.0, year=2015.0, month=12.0, age=40.0)
+    land(spark, folder, 2016, {1: [arrival(), stray]})
     load_year(spark, 2015, source, lake)
     load_year(spark, 2016, source, lake)
     both = snapshot(spark, lake)
@@ -146,7 +161,8 @@ def test_load_of_the_sample_tables_matches_sql(spark, folder):
     """Landing files to stored summaries, against the same star schema in SQL."""
     data = "/root/testdata/sf0.001"
     landed = sample_tables.raw_arrivals(spark, data).withColumn(
-        "file", F.expr("concat('i94_', lower(date_format(make_date(2016, int(i94mon), 1), 'MMM')), '16_sub')")
+        "file",
+        F.expr("lower(date_format(make_date(2016, int(i94mon), 1), \"'i94_'MMM'16_sub'\"))"),
     )
     write_partitioned(landed, folder + "/arrivals", ["file"])
     write_csv(sample_tables.raw_ports(spark, data), folder + "/ports")
@@ -192,8 +208,11 @@ def test_months_are_one_scan(spark, folder):
 
 
 def test_csv_columns_are_found_by_name(spark, folder):
-    write(folder + "/in.csv", "visatype,other,i94mode,i94res,i94port,arrdate,i94yr,i94mon,i94bir\n"
-                              'B1,x,1.0,209,"A, B",20454,2016,1,\n')
+    write(
+        folder + "/in.csv",
+        "visatype,other,i94mode,i94res,i94port,arrdate,i94yr,i94mon,i94bir\n"
+        'B1,x,1.0,209,"A, B",20454,2016,1,\n',
+    )
     assert [tuple(r) for r in read_csv(spark, folder + "/in.csv", RAW_ARRIVALS).collect()] == [
         (1.0, 209.0, "A, B", 20454.0, 2016.0, 1.0, None, "B1")
     ]
@@ -205,17 +224,26 @@ def test_csv_columns_are_found_by_name(spark, folder):
 
 def test_dynamic_overwrite_touches_only_its_partitions(spark, folder):
     path = folder + "/t"
-    write_partitioned(spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string"), path, ["k"])
-    write_partitioned(spark.createDataFrame([(2, "c")], "k int, v string"), path, ["k"])
-    assert sorted(map(tuple, read_table(spark, path).collect()), key=str) == [
-        ("a", 1), ("c", 2), ("n", None),
-    ]
-    write_partitioned(spark.createDataFrame([(2, "d")], "k int, v string"), path, ["k"], mode="append")
+
+    def save(rows, **options):
+        write_partitioned(spark.createDataFrame(rows, "k int, v string"), path, ["k"], **options)
+
+    save([(1, "a"), (2, "b"), (None, "n")])
+    save([(2, "c")])
+    stored = sorted(map(tuple, read_table(spark, path).collect()), key=str)
+    assert stored == [("a", 1), ("c", 2), ("n", None)]
+    save([(2, "d")], mode="append")
     assert read_table(spark, path).count() == 4
-    write_partitioned(spark.createDataFrame([(9, "z")], "k int, v string"), path, ["k"], mode="overwrite")
+    save([(9, "z")], mode="overwrite")
     assert [tuple(r) for r in read_table(spark, path).collect()] == [("z", 9)]
     with pytest.raises(ValueError):
-        write_partitioned(spark.createDataFrame([(9, "z")], "k int, v string"), path, ["k"], mode="x")
+        save([(9, "z")], mode="x")
+
+
+def test_a_partitioned_write_needs_no_sort(spark):
+    fact = spark.createDataFrame([], LAKE_TABLES["immigration_fact"])
+    written = stats.stats_city(fact).hint("rebalance", "arrival_date_year")
+    assert "Sort" not in written._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_one_large_partition_is_written_by_several_tasks(spark, folder):
