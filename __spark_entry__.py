@@ -21,6 +21,17 @@ from landfall.sources import sample_tables as sample  # noqa: E402
 from landfall.sources.files import MONTH_FILE, MONTHS  # noqa: E402
 from oracle_queries import ORACLE  # noqa: E402
 
+try:  # the text operators are an optional part of the library
+    import corpus_pipeline
+    from landfall.llm import queries as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "landfall.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+else:
+    LLM_QUERIES = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_ORACLE = dict(llm.ORACLE)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 UNIQUE_RULES = tuple(
@@ -333,7 +344,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return _fact(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def core_queries() -> dict[str, Query]:
     return {
         "clean_code": _document_text(fn.clean_code),
         "clean_state_code": _document_text(fn.clean_state_code),
@@ -389,5 +400,13 @@ def queries() -> dict[str, Query]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+def queries() -> dict[str, Query]:
+    return {**core_queries(), **LLM_QUERIES}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**core_oracle_sql(), **LLM_ORACLE}

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh path that the driver and every executor see.
 
-    Executors on other machines must see it, so a local temporary folder is used only when
-    the setting is absent and Spark itself runs on this machine.
+    It lies in ``spark.checkpoint.dir``; where that is not set, in the folder ``scratch`` of
+    the warehouse, which executors share as well. The rule is the same for every master.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="landfall-")
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

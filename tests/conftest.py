@@ -19,6 +19,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="landfall-warehouse-"))
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

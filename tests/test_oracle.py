@@ -18,14 +18,14 @@ def con():
     return connect(FOLDER)
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_core_query_has_sql():
+    assert set(contract.core_queries()) == set(contract.core_oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.core_queries()))
 def test_query_matches_sql(spark, con, name):
-    schema, rows = spark_result(contract.queries()[name](spark, FOLDER))
-    expected_schema, expected = duckdb_result(con, contract.oracle_sql()[name])
+    schema, rows = spark_result(contract.core_queries()[name](spark, FOLDER))
+    expected_schema, expected = duckdb_result(con, contract.core_oracle_sql()[name])
     assert schema == expected_schema
     assert len(rows) == len(expected)
     assert rows == expected
