@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import decontaminate, language_id, licenses, near_duplicates, sharding, toxicity
+from landfall.llm import (
+    decontaminate,
+    language_id,
+    licenses,
+    near_duplicates,
+    packing,
+    sharding,
+    toxicity,
+)
 from landfall.llm.common import read, remainder
 
 SHARDS = 16
@@ -17,6 +25,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return told.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read(spark, folder, "labels"))
@@ -66,6 +78,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
