@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import (
+    bloom_lm,
     decontaminate,
+    id_files,
     language_id,
     licenses,
     near_duplicates,
     packing,
     sharding,
     toxicity,
+    winnowing,
 )
 from landfall.llm.common import read, remainder
 
@@ -40,6 +43,19 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return bloom_lm.score(docs, remainder(7) == 2)
+
+
+def op5_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return id_files.round_trip(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op6_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.compare_edits(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates.groups(docs).select(
@@ -80,6 +96,9 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_id_files": op5_id_files,
+    "op6_winnowing": op6_winnowing,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
