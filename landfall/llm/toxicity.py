@@ -7,14 +7,16 @@ label, is the unlabelled set. With the class prior p the risk of a classifier is
 
 The second part estimates the loss on clean documents; when it falls below zero the classifier
 has begun to fit the unlabelled set, and the step is taken the other way. Several linear
-classifiers are trained from different starts and their scores averaged.
+classifiers are trained from different starts and their logits averaged. The unlabelled risk
+tells how texts rank; where 0.5 lies is set at the end by a scale and a shift of the logit,
+fitted on texts with known labels.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,7 @@ from landfall.llm.common import fresh, remainder, slices
 #: Documents used for training at most (about; drawn by a hash of the id): the bound on what the
 #: driver holds. Scores are computed for all documents.
 MAX_POSITIVE = 3_000
+MAX_CLEAN = 3_000
 MAX_UNLABELLED = 9_000
 
 #: Share of documents that are toxic where no label tells it.
@@ -48,8 +51,8 @@ class Training:
     batch: int = 512
     rate: float = 0.05
     decay: float = 1e-4
-    least_positive: int = 3
-    least_ratio: float = 2.0
+    least_positive: int = 5
+    least_posterior: float = 0.75
 
 
 def word_features(word: str) -> list[int]:
@@ -84,10 +87,18 @@ class ToxicityModel:
     numbers: np.ndarray
     weights: np.ndarray
     biases: np.ndarray
+    scale: float = 1.0
+    shift: float = 0.0
+
+    def logit(self, numbers: np.ndarray) -> float:
+        """The averaged logit of a text with these features."""
+        at = np.flatnonzero(np.isin(self.numbers, numbers))
+        return float((self.biases + self.weights[at].sum(axis=0)).mean())
 
     def scorer(self):
         """A function from texts to scores; words without weight are looked up once."""
-        table = dict(zip(self.numbers.tolist(), self.weights))
+        table = dict(zip(self.numbers.tolist(), self.weights.mean(axis=1).tolist()))
+        bias = float(self.biases.mean())
         nothing: frozenset = frozenset()
         cache: dict[str, frozenset] = {}
 
@@ -103,8 +114,8 @@ class ToxicityModel:
                     )
                 if known:
                     active |= known
-            logits = self.biases + sum((table[n] for n in sorted(active)), np.zeros_like(self.biases))
-            return float(np.mean(1 / (1 + np.exp(-np.clip(logits, -30, 30)))))
+            logit = bias + sum(table[n] for n in sorted(active))
+            return float(_sigmoid(np.float64(self.scale * logit + self.shift)))
 
         return score
 
@@ -127,15 +138,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _chosen(positive: list[np.ndarray], unlabelled: list[np.ndarray], how: Training) -> np.ndarray:
-    """Features of enough positive texts, clearly commoner there than in unlabelled texts."""
+def _chosen(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, how: Training
+) -> np.ndarray:
+    """Features of enough positive texts with which a text is likely toxic: by Bayes' rule
+    prior * P(feature | positive) / P(feature)."""
     if not positive:
         return np.empty(0, dtype="i8")
     in_positive = np.bincount(np.concatenate(positive), minlength=SPACE)
-    in_unlabelled = np.bincount(np.concatenate([*unlabelled, np.empty(0, "i4")]).astype("i4"), minlength=SPACE)
+    in_unlabelled = np.bincount(
+        np.concatenate([*unlabelled, np.empty(0, "i4")]).astype("i4"), minlength=SPACE
+    )
     share = in_positive / len(positive)
     other = (in_unlabelled + 1) / (len(unlabelled) + 1)
-    return np.flatnonzero((in_positive >= how.least_positive) & (share >= how.least_ratio * other))
+    posterior = prior * share / other
+    return np.flatnonzero(
+        (in_positive >= how.least_positive) & (posterior >= how.least_posterior)
+    )
 
 
 def _dense(rows: list[np.ndarray], numbers: np.ndarray) -> list[np.ndarray]:
@@ -213,7 +232,7 @@ def train(
 ) -> ToxicityModel:
     """The averaged classifiers; without positive or unlabelled texts all scores are the prior."""
     prior = min(max(prior, 1e-3), 0.5)
-    numbers = _chosen(positive, unlabelled, how)
+    numbers = _chosen(positive, unlabelled, prior, how)
     flat_bias = np.full(how.classifiers, np.log(prior / (1 - prior)))
     if not len(numbers) or not unlabelled:
         return ToxicityModel(np.empty(0, "i8"), np.empty((0, how.classifiers)), flat_bias)
@@ -225,13 +244,39 @@ def train(
     return ToxicityModel(numbers, weights, np.array([b for _, b in trained]))
 
 
+def calibrated(
+    model: ToxicityModel, toxic: list[np.ndarray], clean: list[np.ndarray], prior: float
+) -> ToxicityModel:
+    """``model`` with the scale and shift of the logit that explain known labels best, both
+    classes weighed by the prior; without texts of both classes it stays as it is."""
+    if not toxic or not clean:
+        return model
+    logits = np.array([model.logit(t) for t in [*toxic, *clean]])
+    # targets just short of 0 and 1 keep the scale finite when the classes are apart
+    high, low = (len(toxic) + 1) / (len(toxic) + 2), 1 / (len(clean) + 2)
+    target = np.repeat([high, low], [len(toxic), len(clean)])
+    weight = np.repeat([prior / len(toxic), (1 - prior) / len(clean)], [len(toxic), len(clean)])
+    x = np.stack([logits, np.ones_like(logits)], axis=1)
+    line = np.array([1.0, 0.0])
+    for _ in range(100):
+        p = _sigmoid(x @ line)
+        gradient = x.T @ (weight * (p - target)) + 1e-6 * line
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        step = np.linalg.solve(curve, gradient)
+        line = line - step / max(1.0, float(np.abs(step).max()))
+        if np.abs(step).max() < 1e-9:
+            break
+    return replace(model, scale=float(line[0]), shift=float(line[1]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityModel:
     """A model from the documents and labels whose crc32 of the id modulo ``folds`` is not
     ``held_out``.
 
     The class prior is the share of toxic labels among all labels of those folds. Ids that are
     null, or labelled both toxic and not, teach nothing. The samples are drawn by a hash of the
-    id, so that about ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents reach the driver.
+    id, so that about ``MAX_POSITIVE``, ``MAX_CLEAN`` and ``MAX_UNLABELLED`` documents reach the
+    driver; only their features do.
     """
     in_fold = remainder(folds) != held_out
     marked = (
@@ -240,19 +285,24 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -
         .agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
         .where("low = high")
     )
-    known, toxic = marked.agg(F.count("*"), F.sum((F.col("low") == 1).cast("int"))).first()
-    prior = (toxic or 0) / known if known else DEFAULT_PRIOR
-    total = docs.where(F.col("doc_id").isNotNull() & in_fold).count()
+    known, n_toxic = marked.agg(F.count("*"), F.sum((F.col("low") == 1).cast("int"))).first()
+    prior = (n_toxic or 0) / known if known else DEFAULT_PRIOR
+    usable = docs.where(F.col("doc_id").isNotNull() & in_fold)
+    total = usable.count()
 
     def drawn(limit: int, of: int, salt: int) -> Column:
         share = min(1.0, limit / max(of, 1))
         return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30))
 
-    ids = marked.where("low = 1").where(drawn(MAX_POSITIVE, toxic or 0, 1))
-    wanted = [r[0] for r in ids.select("doc_id").collect()]
-    confirmed = docs.where(F.col("doc_id").isin(wanted)) if wanted else docs.limit(0)
-    sampled = docs.where(F.col("doc_id").isNotNull() & in_fold & drawn(MAX_UNLABELLED, total, 2))
-    return train(_feature_rows(confirmed), _feature_rows(sampled), prior)
+    def labelled(label: int, limit: int, of: int) -> list[np.ndarray]:
+        ids = marked.where((F.col("low") == label) & drawn(limit, of, 1)).select("doc_id")
+        wanted = [r[0] for r in ids.collect()]
+        return _feature_rows(usable.where(F.col("doc_id").isin(wanted))) if wanted else []
+
+    toxic = labelled(1, MAX_POSITIVE, n_toxic or 0)
+    clean = labelled(0, MAX_CLEAN, known - (n_toxic or 0))
+    model = train(toxic, _feature_rows(usable.where(drawn(MAX_UNLABELLED, total, 2))), prior)
+    return calibrated(model, toxic, clean, min(max(prior, 1e-3), 0.5))
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
