@@ -146,7 +146,7 @@ def scan(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "te
     lines = fresh("lf_lines", docs.columns)
     uid = fresh("lf_uid", docs.columns)
     short = F.filter(
-        F.transform(F.split(lines, "\n"), F.trim),
+        F.transform(F.split(lines, "\n"), lambda line: F.trim(line)),
         lambda line: F.array_contains(wanted, F.length(line)),
     )
     slim = stored(

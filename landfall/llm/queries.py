@@ -18,6 +18,7 @@ from landfall.llm import (
     winnowing,
 )
 from landfall.llm.common import read, remainder
+from landfall.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
 
@@ -104,5 +105,3 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_sharding": op10_sharding,
 }
-
-ORACLE: dict[str, str] = {}
