@@ -7,9 +7,9 @@ label, is the unlabelled set. With the class prior p the risk of a classifier is
 
 The second part estimates the loss on clean documents; when it falls below zero the classifier
 has begun to fit the unlabelled set, and the step is taken the other way. Several linear
-classifiers are trained from different starts and their logits averaged. The unlabelled risk
+classifiers are trained, each without a part of the positive examples, and averaged. The unlabelled risk
 tells how texts rank; where 0.5 lies is set at the end by a scale and a shift of the logit,
-fitted on texts with known labels.
+fitted on texts with known labels that the classifier has not seen.
 """
 
 from __future__ import annotations
@@ -37,9 +37,9 @@ MAX_UNLABELLED = 9_000
 DEFAULT_PRIOR = 0.1
 
 SPACE = 1 << 20
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7, 8)
 WORD = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 @dataclass(frozen=True)
@@ -50,9 +50,9 @@ class Training:
     epochs: int = 30
     batch: int = 512
     rate: float = 0.05
-    decay: float = 1e-4
-    least_positive: int = 5
+    decay: float = 1e-3
     least_posterior: float = 0.75
+    by_chance: float = 7.0
 
 
 def word_features(word: str) -> list[int]:
@@ -61,23 +61,37 @@ def word_features(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(n) % SPACE for n in names]
 
 
-class Features:
-    """The different features of a text, each once; words are looked up in a bounded cache."""
+def twice(number: int) -> int:
+    """The feature of a text that has feature ``number`` in two different words or more."""
+    return (number * 2_654_435_761 + 1) % SPACE
 
-    def __init__(self):
-        self.cache: dict[str, list[int]] = {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        found: set[int] = set()
-        cache = self.cache
-        for word in set(WORD.findall((text or "").lower())):
-            numbers = cache.get(word)
-            if numbers is None:
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                numbers = cache[word] = word_features(word)
-            found.update(numbers)
-        return np.fromiter(found, "i4", len(found))
+def text_features(words: set[str], features_of) -> set[int]:
+    """The different features of a text."""
+    once: set[int] = set()
+    again: set[int] = set()
+    for word in words:
+        for number in features_of(word):
+            (again if number in once else once).add(number)
+    return once.union(map(twice, again))
+
+
+class Cached(dict):
+    """Values of a function of words, forgotten as a whole when too many."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, word: str):
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        value = self[word] = self.function(word)
+        return value
+
+
+def words_of(text: str | None) -> set[str]:
+    return set(WORD.findall((text or "").lower()))
 
 
 @dataclass(frozen=True)
@@ -86,35 +100,27 @@ class ToxicityModel:
 
     numbers: np.ndarray
     weights: np.ndarray
-    biases: np.ndarray
+    bias: float
     scale: float = 1.0
     shift: float = 0.0
 
     def logit(self, numbers: np.ndarray) -> float:
-        """The averaged logit of a text with these features."""
-        at = np.flatnonzero(np.isin(self.numbers, numbers))
-        return float((self.biases + self.weights[at].sum(axis=0)).mean())
+        """The logit, before calibration, of a text with these features."""
+        return self.bias + float(self.weights[np.isin(self.numbers, numbers)].sum())
 
     def scorer(self):
-        """A function from texts to scores; words without weight are looked up once."""
-        table = dict(zip(self.numbers.tolist(), self.weights.mean(axis=1).tolist()))
-        bias = float(self.biases.mean())
-        nothing: frozenset = frozenset()
-        cache: dict[str, frozenset] = {}
+        """A function from texts to scores; the features of a word that have no weight are
+        passed over."""
+        table = dict(zip(self.numbers.tolist(), self.weights.tolist()))
+
+        def weighed(word: str) -> tuple[int, ...]:
+            return tuple(n for n in word_features(word) if n in table or twice(n) in table)
+
+        features_of = Cached(weighed).__getitem__
 
         def score(text: str | None) -> float:
-            active: set[int] = set()
-            for word in set(WORD.findall((text or "").lower())):
-                known = cache.get(word)
-                if known is None:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    known = cache[word] = (
-                        frozenset(n for n in word_features(word) if n in table) or nothing
-                    )
-                if known:
-                    active |= known
-            logit = bias + sum(table[n] for n in sorted(active))
+            active = text_features(words_of(text), features_of)
+            logit = self.bias + sum(table.get(n, 0.0) for n in sorted(active))
             return float(_sigmoid(np.float64(self.scale * logit + self.shift)))
 
         return score
@@ -124,10 +130,11 @@ def _feature_rows(docs: DataFrame) -> list[np.ndarray]:
     """Features of the documents of a bounded sample, taken to the driver."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features_of = Cached(word_features).__getitem__
         for batch in batches:
             for part in slices(batch):
-                lists = [features(t).tobytes() for t in part.column("text").to_pylist()]
+                found = [text_features(words_of(t), features_of) for t in part.column("text").to_pylist()]
+                lists = [np.fromiter(f, "i4", len(f)).tobytes() for f in found]
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.binary())], names=["f"])
 
     collected = docs.select("text").mapInArrow(rows, "f binary").collect()
@@ -141,20 +148,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _chosen(
     positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, how: Training
 ) -> np.ndarray:
-    """Features of enough positive texts with which a text is likely toxic: by Bayes' rule
-    prior * P(feature | positive) / P(feature)."""
+    """Features that make a text likely toxic, by Bayes' rule
+    prior * P(feature | positive) / P(feature), and occur in so many more positive texts than
+    their share of unlabelled texts leads to expect that chance gives ``by_chance`` such features
+    at most (Chernoff's bound of a Poisson count, over all features met)."""
     if not positive:
         return np.empty(0, dtype="i8")
     in_positive = np.bincount(np.concatenate(positive), minlength=SPACE)
     in_unlabelled = np.bincount(
         np.concatenate([*unlabelled, np.empty(0, "i4")]).astype("i4"), minlength=SPACE
     )
-    share = in_positive / len(positive)
-    other = (in_unlabelled + 1) / (len(unlabelled) + 1)
-    posterior = prior * share / other
-    return np.flatnonzero(
-        (in_positive >= how.least_positive) & (posterior >= how.least_posterior)
-    )
+    met = np.flatnonzero(in_positive)
+    share, other = in_positive[met] / len(positive), (in_unlabelled[met] + 1) / (len(unlabelled) + 1)
+    surprise = len(positive) * (share * np.log(share / other) - share + other)
+    likely = prior * share / other >= how.least_posterior
+    return met[likely & (share > other) & (surprise > np.log(len(met) / how.by_chance))]
 
 
 def _dense(rows: list[np.ndarray], numbers: np.ndarray) -> list[np.ndarray]:
@@ -228,34 +236,56 @@ def train(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
     prior: float,
+    clean: list[np.ndarray] | None = None,
     how: Training = Training(),
 ) -> ToxicityModel:
-    """The averaged classifiers; without positive or unlabelled texts all scores are the prior."""
+    """Classifiers that each leave out a part of the positive texts, averaged.
+
+    Each one's logits of the texts that it has not seen, and of as large a part of ``clean``,
+    set the scale and shift. Without positive or unlabelled texts all scores are the prior.
+    """
     prior = min(max(prior, 1e-3), 0.5)
-    numbers = _chosen(positive, unlabelled, prior, how)
-    flat_bias = np.full(how.classifiers, np.log(prior / (1 - prior)))
-    if not len(numbers) or not unlabelled:
-        return ToxicityModel(np.empty(0, "i8"), np.empty((0, how.classifiers)), flat_bias)
-    p, u = _dense(positive, numbers), _dense(unlabelled, numbers)
-    trained = [
-        _train_one(p, u, prior, len(numbers), seed, how) for seed in range(how.classifiers)
+    folds = min(how.classifiers, len(positive)) if unlabelled else 0
+    one = [_flat(prior)] if folds < 2 else []
+    for fold in range(folds if folds >= 2 else 0):
+        seen = [p for i, p in enumerate(positive) if i % folds != fold]
+        numbers = _chosen(seen, unlabelled, prior, how)
+        if not len(numbers):
+            one.append(_flat(prior))
+            continue
+        p, u = _dense(seen, numbers), _dense(unlabelled, numbers)
+        weights, bias = _train_one(p, u, prior, len(numbers), fold, how)
+        one.append(ToxicityModel(numbers, weights, bias))
+    numbers = np.unique(np.concatenate([m.numbers for m in one]))
+    weights = np.zeros(len(numbers))
+    for m in one:
+        weights[np.searchsorted(numbers, m.numbers)] += m.weights / len(one)
+    mean = ToxicityModel(numbers, weights, float(np.mean([m.bias for m in one])))
+    parts = [
+        (one[i % folds].logit(text), label)
+        for texts, label in ((positive, 1), (clean or [], 0))
+        for i, text in enumerate(texts)
+        if folds >= 2
     ]
-    weights = np.stack([w for w, _ in trained], axis=1)
-    return ToxicityModel(numbers, weights, np.array([b for _, b in trained]))
+    return calibrated(mean, parts, prior)
+
+
+def _flat(prior: float) -> ToxicityModel:
+    return ToxicityModel(np.empty(0, "i8"), np.empty(0), float(np.log(prior / (1 - prior))))
 
 
 def calibrated(
-    model: ToxicityModel, toxic: list[np.ndarray], clean: list[np.ndarray], prior: float
+    model: ToxicityModel, known: list[tuple[float, int]], prior: float
 ) -> ToxicityModel:
     """``model`` with the scale and shift of the logit that explain known labels best, both
     classes weighed by the prior; without texts of both classes it stays as it is."""
+    logits, labels = np.array([z for z, _ in known]), np.array([y for _, y in known])
+    toxic, clean = int((labels == 1).sum()), int((labels == 0).sum())
     if not toxic or not clean:
         return model
-    logits = np.array([model.logit(t) for t in [*toxic, *clean]])
     # targets just short of 0 and 1 keep the scale finite when the classes are apart
-    high, low = (len(toxic) + 1) / (len(toxic) + 2), 1 / (len(clean) + 2)
-    target = np.repeat([high, low], [len(toxic), len(clean)])
-    weight = np.repeat([prior / len(toxic), (1 - prior) / len(clean)], [len(toxic), len(clean)])
+    target = np.where(labels == 1, (toxic + 1) / (toxic + 2), 1 / (clean + 2))
+    weight = np.where(labels == 1, prior / toxic, (1 - prior) / clean)
     x = np.stack([logits, np.ones_like(logits)], axis=1)
     line = np.array([1.0, 0.0])
     for _ in range(100):
@@ -301,8 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -
 
     toxic = labelled(1, MAX_POSITIVE, n_toxic or 0)
     clean = labelled(0, MAX_CLEAN, known - (n_toxic or 0))
-    model = train(toxic, _feature_rows(usable.where(drawn(MAX_UNLABELLED, total, 2))), prior)
-    return calibrated(model, toxic, clean, min(max(prior, 1e-3), 0.5))
+    return train(toxic, _feature_rows(usable.where(drawn(MAX_UNLABELLED, total, 2))), prior, clean)
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
