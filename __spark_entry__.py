@@ -16,6 +16,13 @@ from landfall import operators as op  # noqa: E402
 from landfall import sources as io  # noqa: E402
 from landfall.plans import answers, dims, stats  # noqa: E402
 from landfall.plans import fact as facts  # noqa: E402
+from landfall.plans.yearly_load import (  # noqa: E402
+    Inputs,
+    Lake,
+    load_year,
+    read_lake,
+    read_summaries,
+)
 from landfall.schemas import FACT, RAW_ARRIVALS, RAW_DEMOGRAPHICS  # noqa: E402
 from landfall.sources import sample_tables as sample  # noqa: E402
 from landfall.sources.files import MONTH_FILE, MONTHS  # noqa: E402
@@ -34,6 +41,8 @@ else:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LANDED_FILE = "file=" + MONTH_FILE
+
 UNIQUE_RULES = tuple(
     op.TableRule(rule.table, rule.keys, unique=bool(rule.keys)) for rule in op.DEFAULT_RULES
 )
@@ -68,12 +77,13 @@ def _dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lake(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    fact = _fact(spark, folder)
     return {
         "cities_demographics": _cities(spark, folder),
         "country_codes": _countries(spark, folder),
         "US_Visas": _visas(spark, folder),
-        "arrival_dates": _dates(spark, folder),
-        "immigration_fact": _fact(spark, folder),
+        "arrival_dates": dims.dim_dates(fact),
+        "immigration_fact": fact,
     }
 
 
@@ -155,14 +165,37 @@ def dedupe_by_two_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 def arrivals_month_union(spark: SparkSession, folder: str) -> DataFrame:
     """Land the arrivals in twelve month folders, then read them as one scan."""
+    landing = _landed(spark, sample.raw_arrivals(spark, folder))
+    return io.read_arrivals(spark, landing, 2016, name=LANDED_FILE)
+
+
+def _landed(spark: SparkSession, arrivals: DataFrame) -> str:
+    """Arrivals in twelve month folders of one year, by the month of the record."""
     landing = io.scratch_folder(spark, "landing")
     months = F.array(*[F.lit(month) for month in MONTHS])
     month = F.element_at(months, F.col("i94mon").cast("int"))
-    landed = sample.raw_arrivals(spark, folder).withColumn(
-        "file", F.concat(F.lit("i94_"), month, F.lit("16_sub"))
-    )
-    io.write_partitioned(landed, landing, ["file"], mode="overwrite")
-    return io.read_arrivals(spark, landing, 2016, name="file=" + MONTH_FILE)
+    named = arrivals.withColumn("file", F.concat(F.lit("i94_"), month, F.lit("16_sub")))
+    io.write_partitioned(named, landing, ["file"], mode="overwrite")
+    return landing
+
+
+def fact_two_month_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of files that repeat rows: each arrival of odd months also stands in the file of
+    the month after, where it counts again."""
+    landing = io.scratch_folder(spark, "landing")
+    arrivals = sample.raw_arrivals(spark, folder)
+    again = arrivals.where(F.col("i94mon") % 2 == 1)
+    months = F.array(*[F.lit(month) for month in MONTHS])
+    files = [
+        rows.withColumn("file", F.concat(F.lit("i94_"), F.element_at(months, n), F.lit("16_sub")))
+        for rows, n in (
+            (arrivals, F.col("i94mon").cast("int")),
+            (again, F.col("i94mon").cast("int") + 1),
+        )
+    ]
+    io.write_partitioned(files[0].unionByName(files[1]), landing, ["file"], mode="overwrite")
+    clean = facts.clean_arrivals(io.read_arrivals(spark, landing, 2016, name=LANDED_FILE))
+    return facts.fact_arrivals(clean, _ports(spark, folder))
 
 
 # Star schema
@@ -177,7 +210,8 @@ def fact_head_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stats_weekday(spark: SparkSession, folder: str) -> DataFrame:
-    return stats.stats_weekday(_fact(spark, folder), _dates(spark, folder))
+    fact = _fact(spark, folder)
+    return stats.stats_weekday(fact, dims.dim_dates(fact))
 
 
 def stats_visa(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,6 +283,88 @@ def sink_partitioned_readback(spark: SparkSession, folder: str) -> DataFrame:
     return io.read_table(spark, path, FACT)
 
 
+def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    path = io.scratch_folder(spark, "csv")
+    io.write_csv(sample.raw_demographics(spark, folder), path, sep=";")
+    return io.read_csv(spark, path, sep=";")
+
+
+def _careless_csv(spark: SparkSession, folder: str) -> str:
+    path = io.scratch_folder(spark, "csv")
+    io.write_csv(sample.raw_demographics_text(spark, folder), path, sep=";")
+    return path
+
+
+def csv_careless_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Padded, decimal and grouped figures read as numbers."""
+    return io.read_csv(spark, _careless_csv(spark, folder), RAW_DEMOGRAPHICS, sep=";")
+
+
+def dq_bad_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    text = io.read_csv_text(spark, _careless_csv(spark, folder), RAW_DEMOGRAPHICS, sep=";")
+    bad = io.bad_numbers(text, RAW_DEMOGRAPHICS)
+    return op.bad_number_report("demographics", text, bad)
+
+
+# The yearly load
+
+
+def _loaded(spark: SparkSession, folder: str) -> Lake:
+    """The sample tables as landing files, loaded into a new lake. The sample has codes that are
+    no numbers and arrivals without date, so keys and numbers are not checked."""
+    files = {
+        "ports": (sample.raw_ports, ","),
+        "visas": (sample.raw_visas, ","),
+        "countries": (sample.raw_countries, ","),
+        "cities": (sample.raw_demographics, ";"),
+    }
+    paths = []
+    for name, (rows, sep) in files.items():
+        paths.append(io.scratch_folder(spark, name))
+        io.write_csv(rows(spark, folder), paths[-1], sep=sep)
+    landing = _landed(spark, sample.raw_arrivals(spark, folder))
+    lake = Lake(io.scratch_folder(spark, "lake"), io.scratch_folder(spark, "summaries"))
+    rules = [op.TableRule(rule.table) for rule in op.DEFAULT_RULES]
+    source = Inputs(landing, *paths, month_file=LANDED_FILE)
+    load_year(spark, 2016, source, lake, rules, check_numbers=False)
+    return lake
+
+
+def load_year_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return read_lake(spark, _loaded(spark, folder))["immigration_fact"]
+
+
+def _load_summary(name: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return read_summaries(spark, _loaded(spark, folder))[name]
+
+    return query
+
+
+def dq_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """The failing lines that stop a run over raw tables: repeated and null keys, no rows."""
+    countries = sample.raw_countries(spark, folder)
+    tables = {
+        "countries": countries.withColumn("code", fn.text_to_int("Country_code")),
+        "visas": sample.raw_visas(spark, folder),
+        "ports": sample.raw_ports(spark, folder).where("Code is null"),
+    }
+    rules = [
+        op.TableRule("countries", ("code",), unique=True),
+        op.TableRule("visas", ("Visa Type",), unique=True),
+        op.TableRule("ports", ("Code",)),
+    ]
+    try:
+        op.enforce(tables, rules)
+    except op.DataQualityError as error:
+        return spark.createDataFrame(
+            error.failures,
+            "table_name string, check_name string, column_name string, passed boolean, "
+            "bad_rows long",
+        )
+    raise AssertionError("the raw tables have faults")
+
+
 # Answers
 
 
@@ -265,7 +381,8 @@ def top_countries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weekday_trend(spark: SparkSession, folder: str) -> DataFrame:
-    return answers.weekday_trend(_fact(spark, folder), _dates(spark, folder))
+    fact = _fact(spark, folder)
+    return answers.weekday_trend(fact, dims.dim_dates(fact))
 
 
 def monthly_inflow(spark: SparkSession, folder: str) -> DataFrame:
@@ -380,6 +497,16 @@ def core_queries() -> dict[str, Query]:
         "dq_report": dq_report,
         "csv_roundtrip": csv_roundtrip,
         "csv_semicolon_roundtrip": csv_semicolon_roundtrip,
+        "csv_inferred": csv_inferred,
+        "csv_careless_numbers": csv_careless_numbers,
+        "dq_bad_numbers": dq_bad_numbers,
+        "dq_failures": dq_failures,
+        "fact_two_month_files": fact_two_month_files,
+        "load_year_fact": load_year_fact,
+        "load_year_weekday": _load_summary("weekday"),
+        "load_year_visa": _load_summary("visa"),
+        "load_year_country": _load_summary("country"),
+        "load_year_city": _load_summary("city"),
         "sink_overwrite_readback": sink_overwrite_readback,
         "sink_append_readback": sink_append_readback,
         "sink_partitioned_readback": sink_partitioned_readback,

@@ -9,7 +9,7 @@ from landfall.functions.labels import (
     port_label_city,
     port_label_state,
 )
-from landfall.functions.numbers import text_to_int, to_int
+from landfall.functions.numbers import bad_number, text_to_double, text_to_int, to_int
 from landfall.functions.text import (
     ascii_only,
     clean_city_text,
@@ -22,6 +22,7 @@ from landfall.functions.text import (
 __all__ = [
     "age_group",
     "ascii_only",
+    "bad_number",
     "classify_code",
     "clean_city_text",
     "clean_code",
@@ -34,6 +35,7 @@ __all__ = [
     "decode_visa_category",
     "port_label_city",
     "port_label_state",
+    "text_to_double",
     "text_to_int",
     "to_int",
     "weekday_name",

@@ -13,6 +13,7 @@ from landfall.operators.quality import (
     DEFAULT_RULES,
     DataQualityError,
     TableRule,
+    bad_number_report,
     enforce,
     null_key_report,
     quality_report,
@@ -27,6 +28,7 @@ __all__ = [
     "NonUniqueKeyError",
     "OTHER_STATE",
     "TableRule",
+    "bad_number_report",
     "decode",
     "distinct_of",
     "enforce",

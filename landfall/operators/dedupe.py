@@ -20,7 +20,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     The order covers every column, so the row kept is the same on every run. It is planned as
     a partial and a final minimum: each map task sends at most one row per key, so a key that
-    holds a large part of the table does not gather in one task.
+    holds a large part of the table does not gather in one task. The minimum of whole rows is
+    not a hash aggregate: each task sorts its rows by key first. Where many rows share few
+    keys, count or group them by all columns before.
     """
     others = [name for name in df.columns if name not in keys]
     if not others:

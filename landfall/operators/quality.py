@@ -6,6 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ log = logging.getLogger("landfall.quality")
 NOT_EMPTY = "not_empty"
 NOT_NULL = "not_null"
 UNIQUE = "unique"
+BAD_NUMBER = "bad_number"
 
 
 @dataclass(frozen=True)
@@ -128,6 +130,21 @@ def null_key_report(tables: Mapping[str, DataFrame], rules: Sequence[TableRule])
     )
 
 
+def bad_number_report(
+    table: str, text: DataFrame, bad: Mapping[str, Column]
+) -> DataFrame:
+    """One line per number column: rows whose text there is no number, in one pass.
+
+    ``text`` and ``bad`` come from ``read_csv_text`` and ``bad_numbers``.
+    """
+    counts = text.agg(*[F.count_if(c).alias(f"bad_{i}") for i, c in enumerate(bad.values())])
+    lines = [
+        _line(table, BAD_NUMBER, name, F.col(f"bad_{i}") == 0, F.col(f"bad_{i}"))
+        for i, name in enumerate(bad)
+    ]
+    return _lines(counts, lines)
+
+
 def quality_report(
     tables: Mapping[str, DataFrame], rules: Sequence[TableRule] = DEFAULT_RULES
 ) -> DataFrame:
@@ -139,16 +156,19 @@ def enforce(
     tables: Mapping[str, DataFrame],
     rules: Sequence[TableRule] = DEFAULT_RULES,
     fail_fast: bool = False,
+    also: Sequence[DataFrame] = (),
 ) -> list[Row]:
     """Run the checks, log each result and raise ``DataQualityError`` if any failed.
 
+    ``also`` are further reports, such as ``bad_number_report``, that count as checks.
+
     By default every check runs before the error is raised; ``fail_fast`` stops at the first
     failing check of the first failing table. Only report rows come to the driver.
     """
     if fail_fast:
-        batches = (_table_report(tables[rule.table], rule) for rule in rules)
+        batches = chain((_table_report(tables[rule.table], rule) for rule in rules), also)
     else:
-        batches = iter([quality_report(tables, rules)])
+        batches = iter([_union([quality_report(tables, rules), *also])])
     seen: list[Row] = []
     failures: list[Row] = []
     for batch in batches:

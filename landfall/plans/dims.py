@@ -22,7 +22,7 @@ from landfall.functions import (
     to_int,
     weekday_name,
 )
-from landfall.operators.dedupe import distinct_of, first_per_key
+from landfall.operators.dedupe import first_per_key
 from landfall.operators.shape import rename_columns
 
 # Column names of the demographics file and of the city dimension.
@@ -74,14 +74,18 @@ def dim_dates(arrivals: DataFrame) -> DataFrame:
     """Arrival dates with their parts, unique on the date.
 
     ``arrivals`` may be the cleaned arrivals, de-duplicated or not, or the fact: all hold the
-    same dates. Year and month are those of the arrival record. The distinct comes first
-    because it shrinks any number of arrivals to a few rows per day before they are shuffled.
+    same dates. Year and month are those of the arrival record. Arrivals are first counted by
+    day, year and month, a hash aggregate in each task that leaves a few rows per day. The count
+    goes into the choice of the row, behind year and month, where it decides nothing; without
+    it the optimizer would drop the first step and sort all arrivals for the second.
     """
     day = "arrdate" if "arrdate" in arrivals.columns else "arrival_date"
-    seen = distinct_of(arrivals, [day, "arrival_date_year", "arrival_date_month"])
+    parts = [day, "arrival_date_year", "arrival_date_month"]
+    seen = arrivals.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows"))
     if day == "arrdate":
         # The date text is made once per day, not once per arrival.
         seen = seen.withColumn("arrival_date", day_number_to_date(day)).drop(day)
+    seen = seen.select("arrival_date", *parts[1:], "rows")
     return first_per_key(seen, ["arrival_date"]).select(
         "arrival_date",
         "arrival_date_year",

@@ -9,9 +9,11 @@ from landfall.functions import age_group, clean_code, day_number_to_date, to_int
 from landfall.functions.dates import valid_day_number
 from landfall.operators.dedupe import distinct_of
 from landfall.operators.enrich import enrich
-from landfall.schemas import FACT
+from landfall.schemas import FACT, FILE_MONTH
 
 AIR = 1
+
+# What identifies an arrival, by the names of the landing files.
 ARRIVAL_COLUMNS = ["i94res", "i94port", "arrdate", "i94yr", "i94mon", "i94bir", "visatype"]
 
 
@@ -29,16 +31,23 @@ def project_arrivals(raw: DataFrame) -> DataFrame:
 
 
 def clean_arrivals(
-    raw: DataFrame, dedupe: bool = True, zero_is_infant: bool = False
+    raw: DataFrame,
+    dedupe: bool = True,
+    zero_is_infant: bool = False,
+    per_file: bool = True,
 ) -> DataFrame:
     """Air arrivals with typed columns, date text and age band.
 
     Rows that agree in all recorded values are one arrival (``dedupe``). That is decided
-    before cleaning, so rows that become equal only by cleaning stay apart.
+    before cleaning, so rows that become equal only by cleaning stay apart. Where ``raw`` tells
+    the month file of a row, equal rows of two files are two arrivals; without ``per_file`` they
+    are one.
     """
-    rows = project_arrivals(air_arrivals(raw))
+    air = air_arrivals(raw)
+    rows = project_arrivals(air)
     if dedupe:
-        rows = distinct_of(rows)
+        by_file = [FILE_MONTH] if per_file and FILE_MONTH in raw.columns else []
+        rows = distinct_of(air, [*ARRIVAL_COLUMNS, *by_file])
     typed = rows.select(
         to_int("i94res").alias("country_of_residence_cd"),
         clean_code("i94port").cast("string").alias("port_of_entry"),

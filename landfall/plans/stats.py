@@ -18,8 +18,13 @@ from landfall.operators.summarise import largest_first, sum_by
 YEAR = "arrival_date_year"
 
 
-def of_years(df: DataFrame, years: Iterable[int] | None) -> DataFrame:
-    return df if years is None else df.where(F.col(YEAR).isin(list(years)))
+def of_years(df: DataFrame, years: Iterable[int | None] | None) -> DataFrame:
+    """Rows of the given years, of which None is the null year; all rows without ``years``."""
+    if years is None:
+        return df
+    years = list(years)
+    known = F.col(YEAR).isin([year for year in years if year is not None])
+    return df.where(known | F.col(YEAR).isNull() if None in years else known)
 
 
 def _labelled(

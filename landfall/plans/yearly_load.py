@@ -6,25 +6,48 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from landfall.operators.quality import DEFAULT_RULES, TableRule, enforce
+from landfall.functions import bad_number, text_to_int
+from landfall.operators.quality import DEFAULT_RULES, TableRule, bad_number_report, enforce
 from landfall.plans.dims import dim_cities, dim_countries, dim_dates, dim_ports, dim_visas
 from landfall.plans.fact import clean_arrivals, fact_arrivals
-from landfall.plans.stats import stats_city, stats_country, stats_visa, stats_weekday
+from landfall.plans.stats import YEAR, stats_city, stats_country, stats_visa, stats_weekday
 from landfall.schemas import (
+    DATES,
+    FACT,
     LAKE_TABLES,
+    RAW_ARRIVALS,
     RAW_COUNTRIES,
     RAW_DEMOGRAPHICS,
     RAW_PORTS,
     RAW_VISAS,
     SUMMARY_TABLES,
 )
-from landfall.sources import overwrite, read_arrivals, read_csv, read_table, write_partitioned
+from landfall.sources import (
+    append,
+    bad_numbers,
+    drop_partition,
+    exists,
+    month_paths,
+    overwrite,
+    read_arrivals,
+    read_csv,
+    read_csv_text,
+    read_table,
+    scratch_folder,
+    write_partitioned,
+)
 from landfall.sources.files import MONTH_FILE, MONTHS
 
 FACT_TABLE = "immigration_fact"
-MONTH_KEYS = ["arrival_date_year", "arrival_date_month"]
+MONTH_KEYS = [YEAR, "arrival_date_month"]
+
+# Years and dates whose summaries are due.
+DUE_YEARS, DUE_DATES = "summaries_due_years", "summaries_due_dates"
+DUE_YEARS_SCHEMA = StructType([FACT[YEAR]])
+DUE_DATES_SCHEMA = StructType([FACT["arrival_date"], FACT[YEAR]])
 
 
 @dataclass(frozen=True)
@@ -83,7 +106,66 @@ def load_dimensions(spark: SparkSession, inputs: Inputs, lake: Lake) -> None:
     )
 
 
-def load_fact(spark: SparkSession, year: int | str, inputs: Inputs, lake: Lake) -> None:
+def number_reports(spark: SparkSession, year: int | str, inputs: Inputs) -> list[DataFrame]:
+    """Lines that count text which is no number in the CSV inputs: figures of cities, codes of
+    countries, and the arrivals if they are CSV."""
+    cities = read_csv_text(spark, inputs.demographics, RAW_DEMOGRAPHICS, sep=";")
+    countries = read_csv_text(spark, inputs.countries, RAW_COUNTRIES)
+    code = bad_number("Country_code", text_to_int("Country_code"))
+    reports = [
+        bad_number_report("demographics", cities, bad_numbers(cities, RAW_DEMOGRAPHICS)),
+        bad_number_report("countries", countries, {"Country_code": code}),
+    ]
+    if inputs.file_format == "csv":
+        paths = month_paths(
+            inputs.arrivals, year, inputs.months, inputs.month_file, inputs.suffix
+        )
+        arrivals = read_csv_text(spark, paths, RAW_ARRIVALS)
+        reports.append(
+            bad_number_report("arrivals", arrivals, bad_numbers(arrivals, RAW_ARRIVALS))
+        )
+    return reports
+
+
+def _remember(spark: SparkSession, lake: Lake, loaded: str) -> None:
+    """Note the years and dates that the fact's folder ``loaded`` holds, and the years that the
+    date table gives those dates, as due for new summaries. The notes stay until the summaries
+    are written, so a failed load does not lose them. A few rows per load."""
+    if not exists(spark, loaded):
+        return
+    fact = read_table(spark, loaded, FACT)
+    append(fact.select(YEAR).distinct(), lake.table(DUE_YEARS))
+    seen = fact.select("arrival_date").distinct()
+    if exists(spark, lake.table("arrival_dates")):
+        dates = read_table(spark, lake.table("arrival_dates"), DATES)
+        seen = seen.join(dates.select("arrival_date", YEAR), "arrival_date", "left")
+    else:
+        seen = seen.withColumn(YEAR, F.lit(None).cast("int"))
+    append(seen, lake.table(DUE_DATES))
+
+
+def due_years(spark: SparkSession, lake: Lake) -> tuple[set, set]:
+    """Years, None for the null year, whose summaries are due: of the fact, and of the weekday
+    summary, where the date table before or after the load tells a date's year."""
+    if not exists(spark, lake.table(DUE_YEARS)):
+        return set(), set()
+    years = read_table(spark, lake.table(DUE_YEARS), DUE_YEARS_SCHEMA).distinct()
+    noted = read_table(spark, lake.table(DUE_DATES), DUE_DATES_SCHEMA)
+    dates = read_table(spark, lake.table("arrival_dates"), DATES)
+    now = noted.select("arrival_date").distinct()
+    now = now.join(dates.select("arrival_date", YEAR), "arrival_date", "left").select(YEAR)
+    of_dates = noted.select(YEAR).union(now).distinct()
+    return {r[0] for r in years.collect()}, {r[0] for r in of_dates.collect()}
+
+
+def _all_noted_done(spark: SparkSession, lake: Lake) -> None:
+    overwrite(spark.createDataFrame([], DUE_YEARS_SCHEMA), lake.table(DUE_YEARS))
+    overwrite(spark.createDataFrame([], DUE_DATES_SCHEMA), lake.table(DUE_DATES))
+
+
+def load_fact(
+    spark: SparkSession, year: int | str, inputs: Inputs, lake: Lake, per_file: bool = True
+) -> None:
     """Replace what this year's files contribute to the fact.
 
     Rows go under ``load_year=<year>``, then year and month of arrival. Loading a year again
@@ -100,12 +182,15 @@ def load_fact(spark: SparkSession, year: int | str, inputs: Inputs, lake: Lake)
         inputs.suffix,
     )
     ports = dim_ports(read_csv(spark, inputs.ports, RAW_PORTS))
+    folder = f"{lake.table(FACT_TABLE)}/load_year={int(year)}"
+    _remember(spark, lake, folder)
     write_partitioned(
-        fact_arrivals(clean_arrivals(raw), ports),
-        f"{lake.table(FACT_TABLE)}/load_year={int(year)}",
+        fact_arrivals(clean_arrivals(raw, per_file=per_file), ports),
+        folder,
         MONTH_KEYS,
         mode="overwrite",
     )
+    _remember(spark, lake, folder)
 
 
 def load_dates(spark: SparkSession, lake: Lake) -> None:
@@ -119,31 +204,41 @@ def load_dates(spark: SparkSession, lake: Lake) -> None:
 
 
 def load_summaries(
-    spark: SparkSession, lake: Lake, years: Iterable[int] | None = None
+    spark: SparkSession,
+    lake: Lake,
+    years: Iterable[int | None] | None = None,
+    weekday_years: Iterable[int | None] | None = None,
 ) -> None:
     """Write the four summaries, partitioned by year.
 
-    By default they are rebuilt for all years from the current tables, so a changed label or
-    a late record shows everywhere. With ``years`` only the summaries of those years are
-    replaced, reading only their part of the fact (the weekday summary, whose year comes from
-    the date table, reads the dates and counts of all years).
+    Without ``years`` they are rebuilt for all years from the current tables, so that a changed
+    label shows everywhere. With ``years`` exactly those are replaced, a year without rows is
+    removed, and only their part of the fact is read. The weekday summary, whose year is the
+    date table's, is replaced for ``weekday_years`` (``years`` if not given); it reads dates and
+    counts of all years, as a date's records may bear several.
     """
     t = read_lake(spark, lake)
-    years = None if years is None else list(years)
     fact = t[FACT_TABLE]
+    years = None if years is None else list(years)
+    weekday_years = years if weekday_years is None else list(weekday_years)
     summaries = {
-        "weekday": stats_weekday(fact, t["arrival_dates"], years),
-        "visa": stats_visa(fact, t["US_Visas"], years),
-        "country": stats_country(fact, t["country_codes"], years),
-        "city": stats_city(fact, years),
+        "weekday": (stats_weekday(fact, t["arrival_dates"], weekday_years), weekday_years),
+        "visa": (stats_visa(fact, t["US_Visas"], years), years),
+        "country": (stats_country(fact, t["country_codes"], years), years),
+        "city": (stats_city(fact, years), years),
     }
-    for name, summary in summaries.items():
-        write_partitioned(
-            summary,
-            lake.summary(name),
-            ["arrival_date_year"],
-            mode="overwrite" if years is None else "dynamic",
-        )
+    for name, (summary, replaced) in summaries.items():
+        path = lake.summary(name)
+        if replaced is None:
+            write_partitioned(summary, path, [YEAR], mode="overwrite")
+            continue
+        fresh = scratch_folder(spark, f"summary-{name}")
+        overwrite(summary, fresh)
+        kept = read_table(spark, fresh, SUMMARY_TABLES[name])
+        write_partitioned(kept, path, [YEAR])
+        present = {row[0] for row in kept.select(YEAR).distinct().collect()}
+        for year in set(replaced) - present:
+            drop_partition(spark, path, YEAR, year)
 
 
 def load_year(
@@ -153,15 +248,26 @@ def load_year(
     lake: Lake,
     rules: Sequence[TableRule] = DEFAULT_RULES,
     fail_fast: bool = False,
-    summary_years: Iterable[int] | None = None,
+    all_summaries: bool = False,
+    check_numbers: bool = True,
+    per_file: bool = True,
 ) -> list[Row]:
     """Load a year and return the report of the checks.
 
-    A failed check raises ``DataQualityError`` before any summary is written.
+    A failed check raises ``DataQualityError`` before any summary is written; the checks include
+    text that is no number in the CSV inputs unless ``check_numbers`` is off. Then the summaries
+    of exactly those years that this load, or a failed one before it, touched are replaced: the
+    years of the rows it removed and of those it wrote. ``all_summaries`` rebuilds every year,
+    which shows changed labels everywhere. ``per_file``: see ``clean_arrivals``.
     """
     load_dimensions(spark, inputs, lake)
-    load_fact(spark, year, inputs, lake)
+    load_fact(spark, year, inputs, lake, per_file)
     load_dates(spark, lake)
-    report = enforce(read_lake(spark, lake), rules, fail_fast)
-    load_summaries(spark, lake, summary_years)
+    also = number_reports(spark, year, inputs) if check_numbers else []
+    report = enforce(read_lake(spark, lake), rules, fail_fast, also)
+    if all_summaries:
+        load_summaries(spark, lake)
+    else:
+        load_summaries(spark, lake, *due_years(spark, lake))
+    _all_noted_done(spark, lake)
     return report

@@ -40,6 +40,9 @@ RAW_ARRIVALS = _schema(
     visatype="string",
 )
 
+# Of arrivals read from monthly files: the number of the file's month.
+FILE_MONTH = "file_month"
+
 RAW_PORTS = _schema(Code="string", City="string", State="string")
 
 RAW_VISAS = _named({"Visa Type": "string", "Purpose": "string"})

@@ -45,8 +45,8 @@ def raw_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").selectExpr(
         "o_orderkey",
         "o_custkey",
-        """CAST(date_diff(trunc(CAST(o_orderdate AS date), 'month'), DATE'1960-01-01') AS double)
-             AS month_start""",
+        """CAST(date_diff(trunc(CAST(o_orderdate AS date), 'month'), DATE'1960-01-01')
+                + 9 * ((day(o_orderdate) - 1) DIV 9) AS double) AS coarse_day""",
         "CAST(year(o_orderdate) AS double) AS i94yr",
         "CAST(month(o_orderdate) AS double) AS i94mon",
         "CASE WHEN o_orderstatus = 'P' THEN 'P' ELSE o_orderpriority END AS visatype",
@@ -64,7 +64,7 @@ def raw_arrivals(spark: SparkSession, folder: str) -> DataFrame:
         "i94mode",
         "i94res",
         "i94port",
-        "CASE WHEN dated THEN month_start END AS arrdate",
+        "CASE WHEN dated THEN coarse_day END AS arrdate",
         "i94yr",
         "i94mon",
         "i94bir",
@@ -92,10 +92,11 @@ def raw_visas(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_countries(spark: SparkSession, folder: str) -> DataFrame:
-    """One country row per customer; codes share names, and some codes are no numbers."""
+    """One country row per customer; codes share names, some are padded, some no numbers."""
     return table(spark, folder, "customer").selectExpr(
         """CASE WHEN c_acctbal < 0 THEN concat('x', c_nationkey)
                 WHEN c_mktsegment = 'BUILDING' THEN concat(c_nationkey, '.5')
+                WHEN c_mktsegment = 'MACHINERY' THEN concat(' \t', c_nationkey + 40, '\u00a0 ')
                 ELSE CAST(c_nationkey AS string) END AS Country_code""",
         "concat('Land ', c_nationkey % 3) AS Country",
     )
@@ -124,6 +125,26 @@ def raw_demographics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_demographics_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The demographics as the text of a careless file: padded, decimal, grouped and bad
+    figures."""
+    figures = raw_demographics(spark, folder)
+    return figures.selectExpr(
+        "City",
+        "State",
+        "`State Code`",
+        "CAST(`Median Age` AS string) AS `Median Age`",
+        "concat(' ', `Male Population`, '.0') AS `Male Population`",
+        "concat(`Female Population`, ',000') AS `Female Population`",
+        """CASE WHEN `Total Population` % 7 = 0 THEN 'unknown'
+                ELSE concat('\t', `Total Population`, '\u00a0') END AS `Total Population`""",
+        """CASE WHEN `Number of Veterans` = 0 THEN '  '
+                ELSE CAST(`Number of Veterans` AS string) END AS `Number of Veterans`""",
+        """CASE WHEN `Male Population` % 5 = 0 THEN '1,2'
+                ELSE concat(`Male Population`, 'e1') END AS `Average Household Size`""",
+    )
+
+
 def country_codes(spark: SparkSession, folder: str) -> DataFrame:
     """A country code list: one code per nation, some of them marked as unusable."""
     return table(spark, folder, "nation").selectExpr(

@@ -13,7 +13,8 @@ WITH raw_arrivals AS (
            || ((l_suppkey + l_linenumber) % 12) AS i94port,
          CASE WHEN l_tax <> 0 OR l_discount <> 0
               THEN CAST(date_diff('day', DATE '1960-01-01',
-                                  CAST(date_trunc('month', o_orderdate) AS DATE)) AS DOUBLE)
+                                  CAST(date_trunc('month', o_orderdate) AS DATE))
+                        + (day(o_orderdate) - 1) // 9 * 9 AS DOUBLE)
          END AS arrdate,
          CAST(year(o_orderdate) AS DOUBLE) AS i94yr,
          CAST(month(o_orderdate) AS DOUBLE) AS i94mon,
@@ -36,6 +37,8 @@ WITH raw_arrivals AS (
 ), raw_countries AS (
   SELECT CASE WHEN c_acctbal < 0 THEN 'x' || c_nationkey
               WHEN c_mktsegment = 'BUILDING' THEN c_nationkey || '.5'
+              WHEN c_mktsegment = 'MACHINERY'
+              THEN ' ' || chr(9) || (c_nationkey + 40) || chr(160) || ' '
               ELSE CAST(c_nationkey AS VARCHAR) END AS "Country_code",
          'Land ' || (c_nationkey % 3) AS "Country"
   FROM customer
@@ -103,8 +106,8 @@ WITH raw_arrivals AS (
   QUALIFY row_number() OVER (PARTITION BY "Visa_Type" ORDER BY "Visa_Purpose" NULLS FIRST) = 1
 ), countries AS (
   SELECT * FROM (
-    SELECT TRY_CAST(regexp_extract("Country_code", '^([+-]?[0-9]+)([.][0-9]*)?$', 1)
-                    AS INTEGER) AS "Country_code", "Country"
+    SELECT CAST(trunc(TRY_CAST(trim("Country_code", ' ' || chr(9) || chr(160)) AS DOUBLE))
+                AS INTEGER) AS "Country_code", "Country"
     FROM raw_countries)
   QUALIFY row_number() OVER (PARTITION BY "Country_code" ORDER BY "Country" NULLS FIRST) = 1
 ), cities_renamed AS (
@@ -263,7 +266,9 @@ ORACLE = {
     "distinct_projected": _star("SELECT * FROM air_distinct"),
     "dedupe_by_key": _star(_FIRST_ARRIVAL.format(keys="i94port")),
     "dedupe_by_two_keys": _star(_FIRST_ARRIVAL.format(keys="i94port, visatype")),
-    "arrivals_month_union": _star("SELECT * FROM raw_arrivals"),
+    "arrivals_month_union": _star(
+        "SELECT *, CAST(i94mon AS INTEGER) AS file_month FROM raw_arrivals"
+    ),
     "dim_visas": _star("SELECT * FROM visas"),
     "dim_countries": _star("SELECT * FROM countries"),
     "dim_cities": _star("SELECT * FROM cities"),
@@ -293,6 +298,74 @@ ORACLE = {
     """),
     "csv_roundtrip": _star("SELECT * FROM raw_arrivals"),
     "csv_semicolon_roundtrip": _star("SELECT * FROM raw_demographics"),
+    "csv_inferred": _star("SELECT * FROM raw_demographics"),
+    "csv_careless_numbers": _star("""
+        SELECT "City", "State", "State Code", "Median Age", "Male Population",
+               "Female Population" * 1000 AS "Female Population",
+               CASE WHEN "Total Population" % 7 <> 0 THEN "Total Population" END
+                 AS "Total Population",
+               nullif("Number of Veterans", 0) AS "Number of Veterans",
+               CASE WHEN "Male Population" % 5 <> 0
+                    THEN CAST("Male Population" * 10 AS DOUBLE) END AS "Average Household Size"
+        FROM raw_demographics
+    """),
+    "dq_bad_numbers": _star("""
+        SELECT 'demographics' AS table_name, 'bad_number' AS check_name, column_name,
+               bad_rows = 0 AS passed, bad_rows
+        FROM (
+          SELECT unnest(['Median Age', 'Male Population', 'Female Population',
+                         'Total Population', 'Number of Veterans', 'Average Household Size'])
+                   AS column_name,
+                 unnest([0, 0, 0, count(*) FILTER ("Total Population" % 7 = 0), 0,
+                         count(*) FILTER ("Male Population" % 5 = 0)]) AS bad_rows
+          FROM raw_demographics)
+    """),
+    "dq_failures": _star("""
+        , codes AS (
+          SELECT CAST(trunc(TRY_CAST(trim("Country_code", ' ' || chr(9) || chr(160)) AS DOUBLE))
+                      AS INTEGER) AS code
+          FROM raw_countries
+        )
+        SELECT table_name, check_name, column_name, false AS passed, bad_rows FROM (
+          SELECT 'countries' AS table_name, 'not_null' AS check_name, 'code' AS column_name,
+                 count(*) FILTER (code IS NULL) AS bad_rows FROM codes
+          UNION ALL
+          SELECT 'countries', 'unique', 'code',
+                 count(*) - (SELECT count(*) FROM (SELECT DISTINCT code FROM codes)) FROM codes
+          UNION ALL
+          SELECT 'visas', 'unique', 'Visa Type', count(*) - count(DISTINCT "Visa Type")
+          FROM raw_visas
+          UNION ALL SELECT 'ports', 'not_empty', NULL, 0)
+        WHERE bad_rows > 0 OR check_name = 'not_empty'
+    """),
+    "fact_two_month_files": _star("""
+        , landed AS (
+          SELECT *, i94mon AS file_month FROM raw_arrivals
+          UNION ALL SELECT *, i94mon + 1 FROM raw_arrivals WHERE i94mon % 2 = 1
+        ), twice AS (
+          SELECT DISTINCT i94res, i94port, arrdate, i94yr, i94mon, i94bir, visatype, file_month
+          FROM landed WHERE i94mode = 1
+        ), copies AS (
+          SELECT CAST(i94res AS INTEGER) AS country_of_residence_cd,
+                 regexp_replace(i94port, '[^A-Z0-9]', '', 'g') AS port_of_entry,
+                 regexp_replace(visatype, '[^A-Z0-9]', '', 'g') AS visatype,
+                 CAST(DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS VARCHAR) AS arrival_date,
+                 CAST(i94yr AS INTEGER) AS arrival_date_year,
+                 CAST(i94mon AS INTEGER) AS arrival_date_month,
+                 CASE WHEN i94bir IS NULL OR i94bir = 0 THEN 'NA' WHEN i94bir < 1 THEN 'infant'
+                      WHEN i94bir < 13 THEN 'children' WHEN i94bir <= 18 THEN 'teens'
+                      WHEN i94bir < 65 THEN 'adult' ELSE 'elderly' END AS age_group
+          FROM twice
+        )
+        SELECT copies.*, "City", "State", count(*) AS "count"
+        FROM copies LEFT JOIN ports ON port_of_entry = "Code"
+        GROUP BY ALL
+    """),
+    "load_year_fact": _star("SELECT * FROM fact"),
+    "load_year_weekday": _star("SELECT * FROM by_weekday"),
+    "load_year_visa": _star("SELECT * FROM by_visa"),
+    "load_year_country": _star("SELECT * FROM by_country"),
+    "load_year_city": _star("SELECT * FROM by_city"),
     "sink_overwrite_readback": _star("SELECT * FROM raw_arrivals"),
     "sink_append_readback": _star("SELECT * FROM raw_arrivals"),
     "sink_partitioned_readback": _star("SELECT * FROM fact"),

@@ -88,8 +88,15 @@ def test_to_int_gives_null_for_bad_numbers(spark):
 
 def test_text_to_int(spark):
     values = ["24", "24.9", "-3", "+3", "x", "", " 5", "1e3", "99999999999", "5\n", None]
-    expected = [24, 24, -3, 3, None, None, None, None, None, None, None]
+    expected = [24, 24, -3, 3, None, None, 5, 1000, None, 5, None]
     assert apply(spark, fn.text_to_int, values, "string") == expected
+    padded = ["\t582 ", "209\u00a0", " \u20031.5\n", "1,200", "12,00", "1,234,567.9", ".5", "1 2", "NaN"]
+    assert apply(spark, fn.text_to_int, padded, "string") == [
+        582, 209, 1, 1200, None, 1234567, 0, None, None,
+    ]
+    assert apply(spark, fn.text_to_double, padded, "string") == [
+        582.0, 209.0, 1.5, 1200.0, None, 1234567.9, 0.5, None, None,
+    ]
 
 
 def test_mode_and_visa_category(spark):
