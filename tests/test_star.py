@@ -157,6 +157,48 @@ def test_dates_are_unique_over_months(spark):
     assert rows(stats.stats_weekday(built, dates)) == [(2016, "Fri", 2)]
 
 
+def before_the_first_exchange(df):
+    """Names of the operators from the scan up to the first exchange."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    names = [re.sub(r"^[\s:+*()0-9-]*", "", line) for line in plan if line.strip()]
+    rising = names[::-1]
+    stop = next(i for i, name in enumerate(rising) if name.startswith("Exchange"))
+    return [name.split("(")[0].split(" ")[0] for name in rising[:stop]]
+
+
+@pytest.mark.parametrize("stored_fact", [False, True])
+def test_dates_need_no_sort_of_all_arrivals(spark, folder, stored_fact):
+    adaptive = "spark.sql.adaptive.enabled"
+    raw = arrivals(spark, {}, {"arrdate": None}, {"i94yr": None, "arrdate": 20455.0})
+    raw.write.parquet(folder + "/arrivals")
+    clean = clean_arrivals(spark.read.parquet(folder + "/arrivals"), dedupe=False)
+    fact_arrivals(clean, ports(spark)).write.parquet(folder + "/fact")
+    source = spark.read.parquet(folder + "/fact") if stored_fact else clean
+    try:
+        spark.conf.set(adaptive, "false")
+        below = before_the_first_exchange(dims.dim_dates(source))
+    finally:
+        spark.conf.unset(adaptive)
+    assert "HashAggregate" in below
+    assert not {"SortAggregate", "Sort"} & set(below)
+    assert rows(dims.dim_dates(source)) == rows(dims.dim_dates(clean))
+
+
+def test_star_queries_pass_over_the_arrivals_once(spark):
+    """The date table of a weekday summary comes from the same fact, whose exchange is reused."""
+    import __spark_entry__ as contract
+
+    adaptive = "spark.sql.adaptive.enabled"
+    try:
+        spark.conf.set(adaptive, "false")
+        df = contract.queries()["stats_weekday"](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(adaptive)
+    assert "ReusedExchange" in plan
+    assert len(re.findall(r"FileScan parquet", plan)) <= 4
+
+
 def test_weekday_year_is_the_date_tables(spark):
     dates = spark.createDataFrame(
         [("2016-01-01", 2015, 1, 1, "Fri")],
