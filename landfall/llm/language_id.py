@@ -254,7 +254,7 @@ def with_language(docs: DataFrame, model: LanguageModel, lang: str, score: str)
     )
 
 
-def with_known_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+def with_known_language(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """Documents whose language is told with at least ``least_score``; all their columns. Where
     no document teaches a language, all that have a letter stay."""
     model = fit(docs)

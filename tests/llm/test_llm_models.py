@@ -71,7 +71,8 @@ def test_toxicity_of_held_out_documents(spark):
     toxic = [r["score"] for r in got if r["toxic"]]
     clean = [r["score"] for r in got if not r["toxic"]]
     assert toxic and clean
-    assert np.mean([[t > c for c in clean] for t in toxic]) > 0.95
+    above = np.subtract.outer(toxic, clean)
+    assert np.mean((above > 0) + (above == 0) / 2) > 0.95  # area under the curve
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in got)
 
 
