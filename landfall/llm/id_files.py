@@ -40,15 +40,22 @@ BLOCK_IDS = 4_096
 FRAME_IDS = 1 << 19
 
 #: Blocks coded at once at most.
-LANES = 2_048
+LANES = 1_024
 
 #: Text bytes per written part, on average.
 PART_BYTES = 32 << 20
 
+#: Words that the tokenizing worker remembers, twice, beside the coder's tables.
+REMEMBERED = 250_000
+
 #: A count of order 0 weighs so many times an id not seen yet.
 SEEN = 32
 
 CONTEXTS = 1 << 12
+#: Stands where no symbol has been seen yet; the same for all blocks, whatever their alphabets, as
+#: a block must not depend on those coded beside it.
+NO_SYMBOL = (1 << 29) - 1
+
 NO_ID = np.iinfo("i8").min
 TOP, WORD, BOTTOM = np.uint64(48), np.uint64(16), np.uint64(32)
 LOW_MASK = np.uint64((1 << 48) - 1)
@@ -75,17 +82,17 @@ class Mixer:
         self.symbols = symbols
         self.steps = steps
         self.refresh_at = _refreshes(steps)
-        self.seen = np.zeros((lanes, width), dtype="i4")
-        self.cumulative = np.zeros((lanes, self.width), dtype="i8")
+        self.seen = np.zeros((lanes, width), dtype="u2")
+        self.cumulative = np.zeros((lanes, self.width), dtype="i4")
         self.history = np.zeros((lanes, steps), dtype="i4")
         self.taken = 0
         lane = np.arange(lanes)
-        self.lane1, self.lane2, self.lane_s = lane * self.width, lane * CONTEXTS, lane * 32
-        # symbol and confidence in one number; no symbol yet: the number behind the last
-        self.order1 = np.full(lanes * self.width, width << 2, dtype="i4")
-        self.order2 = np.full(lanes * CONTEXTS, width << 2, dtype="i4")
+        self.lane, self.lane_s = lane * CONTEXTS, lane * 32
+        # symbol and confidence in one number
+        self.order1 = np.full(lanes * CONTEXTS, NO_SYMBOL << 2, dtype="i4")
+        self.order2 = np.full(lanes * CONTEXTS, NO_SYMBOL << 2, dtype="i4")
         self.votes = np.tile(np.array([1, 1, 2], dtype="i4"), (lanes * 32, 1)).ravel()
-        self.before = np.full(lanes, width, dtype="i8")
+        self.before = np.full(lanes, NO_SYMBOL, dtype="i8")
         self.hashed = np.zeros(lanes, dtype="i8")
         self._refresh(0)
 
@@ -94,10 +101,11 @@ class Mixer:
         if step:
             live = len(recent)
             at = (np.arange(live)[:, None] * self.seen.shape[1] + recent).ravel()
-            self.seen += np.bincount(at, minlength=self.seen.size).reshape(self.seen.shape).astype("i4")
-        weights = self.seen * SEEN + 1
-        weights[np.arange(self.seen.shape[1]) >= self.symbols[:, None]] = 0
-        np.cumsum(weights, axis=1, out=self.cumulative[:, 1:])
+            np.add.at(self.seen.ravel(), at, 1)
+        for rows in np.array_split(np.arange(len(self.seen)), max(1, len(self.seen) // 128)):
+            weights = self.seen[rows] * np.int32(SEEN) + np.int32(1)
+            weights[np.arange(weights.shape[1]) >= self.symbols[rows, None]] = 0
+            np.cumsum(weights, axis=1, out=self.cumulative[rows[0] : rows[-1] + 1, 1:])
         self.taken = step
 
     def predict(self, step: int, live: int) -> None:
@@ -105,8 +113,8 @@ class Mixer:
         if step in self.refresh_at:
             self._refresh(step)
         self.live = live
-        self.at1 = self.lane1[:live] + self.before[:live]
-        self.at2 = self.lane2[:live] + self.hashed[:live]
+        self.at1 = self.lane[:live] + (self.before[:live] & (CONTEXTS - 1))
+        self.at2 = self.lane[:live] + self.hashed[:live]
         one, two = self.order1[self.at1], self.order2[self.at2]
         self.id1, self.sure1 = one >> 2, one & 3
         self.id2, self.sure2 = two >> 2, two & 3
@@ -151,7 +159,7 @@ def encode_blocks(blocks: list[np.ndarray], symbols: list[int]) -> list[np.ndarr
     lengths = np.array([len(blocks[i]) for i in order])
     lanes, steps = len(blocks), int(lengths[0])
     mixer = Mixer(np.array([symbols[i] for i in order]), steps)
-    data = np.zeros((lanes, steps), dtype="i8")
+    data = np.zeros((lanes, steps), dtype="i4")
     for row, i in enumerate(order):
         data[row, : len(blocks[i])] = blocks[i]
     words = np.zeros((lanes, 2 * steps + 8), dtype="i4")
@@ -180,7 +188,7 @@ def encode_blocks(blocks: list[np.ndarray], symbols: list[int]) -> list[np.ndarr
     lives = np.searchsorted(-lengths, -np.arange(steps), side="left")
     for step in range(steps):
         live = int(lives[step])
-        ids = data[:live, step]
+        ids = data[:live, step].astype("i8")
         mixer.predict(step, live)
         outcome = np.where(mixer.id2 == ids, 0, np.where(mixer.id1 == ids, 1, 2))
         two, one, zero = mixer.votes2, mixer.votes1, mixer.votes0
@@ -218,7 +226,7 @@ def decode_blocks(
     for row, i in enumerate(order):
         words[row, : len(coded[i])] = coded[i]
     value = (words[:, 0] << BOTTOM) | (words[:, 1] << WORD) | words[:, 2]
-    count = np.full(lanes, 3, dtype="i8")
+    count, last = np.full(lanes, 3, dtype="i8"), words.shape[1] - 1
     width = np.full(lanes, (1 << 48) - 1, dtype="u8")
 
     def narrow(rows: np.ndarray, start: np.ndarray, size: np.ndarray, unit: np.ndarray) -> None:
@@ -227,7 +235,8 @@ def decode_blocks(
         width[rows] = sizes
         small = rows[sizes < LEAST]
         while len(small):
-            value[small] = (value[small] << WORD) | words[small, count[small]]
+            # damaged data may ask for more words than there are
+            value[small] = (value[small] << WORD) | words[small, np.minimum(count[small], last)]
             count[small] += 1
             width[small] <<= WORD
             small = small[width[small] < LEAST]
@@ -251,11 +260,11 @@ def decode_blocks(
             total = table[rest, -1]
             unit = width[rest] // total.astype("u8")
             target = np.minimum((value[rest] // unit).astype("i8"), total - 1)
-            found = mixer.find(rest, target)
+            found = np.minimum(mixer.find(rest, target), mixer.width - 2)
             start = table[rest, found]
             narrow(rest, start, table[rest, found + 1] - start, unit)
             ids[rest] = found
-        mixer.learn(step, ids, outcome)
+        mixer.learn(step, np.minimum(ids, mixer.width - 2), outcome)
     return [mixer.history[row, : sizes[row]] for row in np.argsort(order)]
 
 
@@ -335,7 +344,7 @@ def read_frames(payloads: list[bytes]) -> list[list[tuple[int | None, np.ndarray
     out = []
     for doc_ids, counts, alphabet, sums in plans:
         own, decoded = decoded[: len(sums)], decoded[len(sums) :]
-        parts = [alphabet[b].astype("<u4") for b in own]
+        parts = [alphabet[np.minimum(b, len(alphabet) - 1)].astype("<u4") for b in own]
         for number, (ids, checksum) in enumerate(zip(parts, sums)):
             if zlib.crc32(ids.tobytes()) != checksum:
                 raise ChecksumError(f"block {number} is damaged")
@@ -361,7 +370,7 @@ def write(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     dealt = rows.repartitionByRange(max(1, -(-size // PART_BYTES)), *order[:2])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        document = encoder(path).document
+        document = encoder(path, REMEMBERED).document
         part, written = TaskContext.get().partitionId(), 0
         frames = [Frame()]
 

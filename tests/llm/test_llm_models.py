@@ -283,6 +283,24 @@ def test_range_coder_round_trip(monkeypatch):
     assert np.array_equal(id_files.read_frames([data])[0][0][1], one.parts[0])
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_frames_decode_alone_and_in_other_company(monkeypatch, seed):
+    """Blocks coded beside others with larger alphabets are decoded without them."""
+    monkeypatch.setattr(id_files, "BLOCK_IDS", 512)
+    rng = np.random.default_rng(seed)
+    frames = []
+    for _ in range(12):
+        frame, alphabet = id_files.Frame(), int(rng.integers(1, 6000))
+        for d in range(int(rng.integers(1, 20))):
+            frame.add(d, rng.integers(0, alphabet, int(rng.integers(1, 900))).astype("<u4"))
+        frames.append(frame)
+    whole = id_files.write_frames(frames)
+    assert [id_files.write_frames([f])[0] for f in frames] == whole
+    for frame, data in zip(frames, whole):
+        ids = [x for _, x in id_files.read_frames([data])[0]]
+        assert all(np.array_equal(a, b) for a, b in zip(frame.parts, ids))
+
+
 def test_blocks_are_independent_and_checked(monkeypatch):
     frames = coded_frames(monkeypatch)
     whole = id_files.write_frames(frames)
