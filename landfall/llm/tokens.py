@@ -13,8 +13,9 @@ from array import array
 
 import numpy as np
 
-#: Words that a worker remembers: two generations of this size; the older is dropped as a whole.
-GENERATION = 300_000
+#: Words that a worker remembers: two generations of this size, unless told otherwise; the older
+#: is dropped as a whole. A million words take about 200 MB.
+GENERATION = 600_000
 
 #: Longer words are tokenized anew each time.
 LONGEST_KEPT = 64
@@ -33,9 +34,9 @@ class _NotAWord(Exception):
 class _Memory(dict):
     """Ids, as bytes of unsigned 32-bit numbers, of ``lead`` and a word."""
 
-    def __init__(self, encode, lead: str):
+    def __init__(self, encode, lead: str, generation: int):
         super().__init__()
-        self.encode, self.lead, self.old = encode, lead, {}
+        self.encode, self.lead, self.generation, self.old = encode, lead, generation, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
@@ -48,25 +49,49 @@ class _Memory(dict):
             else:
                 ids = self.encode(self.lead + word)
         if len(word) <= LONGEST_KEPT:
-            if len(self) >= GENERATION:
+            if len(self) >= self.generation:
                 self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: visible Latin-1 characters stand
+    for themselves, the other bytes, in order, for those from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, equal to those of encoding each text as a whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, generation: int = GENERATION):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first, self.later = _Memory(self._ids, ""), _Memory(self._ids, " ")
+        # words of letters alone are one piece, which the model can be given without the search
+        # for pieces, if nothing else happens to the text before
+        splitter = type(self.tokenizer.pre_tokenizer).__name__
+        self.direct = self.tokenizer.normalizer is None and splitter == "ByteLevel"
+        self.first = _Memory(self._ids, "", generation)
+        self.later = _Memory(self._ids, " ", generation)
 
     def _ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.direct and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+            if text.isascii():
+                letters = text.replace(" ", BYTE_LETTERS[32])
+            else:
+                letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def document(self, text: str | None) -> bytes:
         """The ids of a text and ``END_ID``, as little-endian unsigned 32-bit numbers; a null
@@ -84,14 +109,15 @@ class Encoder:
 
 
 END_BYTES = array("I", [END_ID]).tobytes()
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, generation: int = GENERATION) -> Encoder:
     """One encoder for each file and worker process, so that tasks share its memory."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = path, generation
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, generation)
+    return _encoders[key]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
