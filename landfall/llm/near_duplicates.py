@@ -18,7 +18,7 @@ never becomes all its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +39,7 @@ SAMPLE_PER_SHARD = 32
 MAX_LEVELS = 14
 
 #: Rows and columns of a block of direct comparisons.
-BLOCK = 128
+BLOCK = 256
 
 XXH_SEED = 42
 WORD_BITS = 64
@@ -135,7 +135,13 @@ def fingerprints(docs: DataFrame, kind: Fingerprints = EXACT) -> DataFrame:
 
 
 def _distance(prints: np.ndarray, point: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    return np.bitwise_count((prints ^ point) & mask).sum(axis=-1, dtype="i4")
+    """Bits of ``mask`` in which ``prints`` and ``point`` differ; only the words that the mask
+    has bits of are looked at."""
+    total = None
+    for word in np.flatnonzero(mask):
+        bits = np.bitwise_count((prints[..., word] ^ point[..., word]) & mask[word])
+        total = bits.astype("i4") if total is None else total + bits
+    return total
 
 
 @dataclass(frozen=True)
@@ -209,16 +215,25 @@ class Forest:
 def link_shard(
     prints: np.ndarray, home: np.ndarray, mask: np.ndarray, kind: Fingerprints, seed: int = 0
 ) -> np.ndarray:
-    """Root of each row in the forest of the links between a home row and any other row.
+    """Root of each row in the forest of the links between a home row and any other row within
+    the radius of this part.
 
-    A vantage-point tree over the home rows, descended by all rows at once.
+    A vantage-point tree over the home rows, descended by all rows at once. Only who belongs
+    together matters, so rows that are joined already are not compared again: a crowd of copies
+    costs little more than one of them.
     """
     forest, rng = Forest(len(prints)), np.random.default_rng(seed)
     every = np.full(prints.shape[1], 2**64 - 1, dtype="u8")
     stack = [(np.flatnonzero(home), np.arange(len(prints)), 0)]
     while stack:
         points, asking, depth = stack.pop()
-        if not len(points) or not len(asking):
+        if not len(points):
+            continue
+        # rows that are in the points' group already would add nothing to it
+        groups = forest.root[points]
+        if (groups == groups[0]).all():
+            asking = asking[forest.root[asking] != groups[0]]
+        if not len(asking):
             continue
         inside = None
         if len(points) > BLOCK and depth < 64:
@@ -234,9 +249,14 @@ def link_shard(
                 rows = asking[at : at + BLOCK]
                 for start in range(0, len(points), 8 * BLOCK):
                     columns = points[start : start + 8 * BLOCK]
-                    near = _distance(prints[rows][:, None], prints[columns][None], every)
-                    a, b = np.nonzero(near <= kind.distance)
-                    forest.join(rows[a], columns[b])
+                    groups = forest.root[columns]
+                    if (forest.root[rows] == groups[0]).all() and (groups == groups[0]).all():
+                        continue
+                    part = _distance(prints[rows][:, None], prints[columns][None], mask)
+                    a, b = np.nonzero(part <= kind.radius)
+                    a, b = rows[a], columns[b]
+                    near = _distance(prints[a], prints[b], every) <= kind.distance
+                    forest.join(a[near], b[near])
             continue
         theirs = _distance(prints[asking], vantage, mask)
         stack.append((points[inside], asking[theirs <= bound + kind.radius], depth + 1))

@@ -83,6 +83,27 @@ def test_links_lose_none_across_many_shards(spark, monkeypatch, kind):
     assert [found.get(i, i) for i in range(len(prints))] == roots
 
 
+@pytest.mark.parametrize("kind", [near_duplicates.EXACT, near_duplicates.SIMILAR])
+def test_shard_tree_finds_what_comparing_all_finds(monkeypatch, kind):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, (300, kind.longs)).astype("u8")
+    near = base[rng.integers(0, 300, 300)].copy()
+    for row in near:
+        for bit in rng.choice(64 * kind.longs, 3, replace=False):
+            row[bit // 64] ^= np.uint64(1 << int(bit % 64))
+    prints = np.unique(np.concatenate([base, near]), axis=0)
+    home = rng.random(len(prints)) < 0.7
+    for mask in kind.masks()[:3]:
+        differ = prints[:, None] ^ prints[None]
+        linked = (np.bitwise_count(differ & mask).sum(axis=-1) <= kind.radius) & home[None]
+        linked &= np.bitwise_count(differ).sum(axis=-1) <= kind.distance
+        forest = near_duplicates.Forest(len(prints))
+        forest.join(*np.nonzero(linked))
+        found = near_duplicates.link_shard(prints, home, mask, kind)
+        assert found.tolist() == forest.root.tolist()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, j) for j in range(101, 140)] + [(7, 7)]
     found = dict(
