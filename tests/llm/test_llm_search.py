@@ -150,6 +150,69 @@ def test_similar_texts_link_and_others_do_not(spark):
     assert len(ids) <= len(pairs) + 3
 
 
+def plain_similar_groups(texts):
+    """Smallest index of each text's group by brute-force Jaccard of 5-word shingles >= 0.8."""
+    sets = []
+    for text in texts:
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", lowered) if w]
+        size = min(5, len(words))
+        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set())
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, one in enumerate(sets):
+        for j in range(i):
+            two = sets[j]
+            if 5 * min(len(one), len(two)) < 4 * max(len(one), len(two)):
+                continue
+            both = len(one & two)
+            if one == two or 5 * both >= 4 * (len(one) + len(two) - both) > 0:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("sample", [8000, 50])
+def test_similar_groups_equal_brute_force_jaccard(spark, monkeypatch, sample):
+    monkeypatch.setattr(near_duplicates, "FREQUENT_SAMPLE", sample)
+    rng = np.random.default_rng(4)
+    passage = [f"p{i}" for i in range(60)]  # common to many, similar to none
+    texts = []
+    for i in range(120):
+        base = [f"w{k}" for k in rng.integers(0, 5000, int(rng.integers(80, 200)))]
+        texts.append(base + passage * (i % 3 == 0))
+        for edits in (3, 4, 5, 6):  # similarities on both sides of 0.8
+            changed = list(texts[-1])
+            for k in rng.choice(len(changed), edits, replace=False):
+                changed[k] = f"x{rng.integers(10**9)}"
+            texts.append(changed)
+    crowd = [f"c{k}" for k in rng.integers(0, 5000, 120)]
+    for _ in range(60):
+        changed = list(crowd)
+        for k in rng.choice(120, 2, replace=False):
+            changed[k] = f"y{rng.integers(10**9)}"
+        texts.append(changed)
+    texts = [" ".join(t) for t in texts]
+    roots = plain_similar_groups(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(map(tuple, near_duplicates.similar_groups(docs).collect()))
+    assert got == dict(enumerate(roots))
+    assert 200 < len(set(roots)) < len(texts) - 100
+
+
+def test_one_of_each_equals_brute_force_jaccard_on_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    roots = plain_similar_groups([r["text"] for r in rows])
+    kept = sorted(r["doc_id"] for r in near_duplicates.one_of_each(docs).select("doc_id").collect())
+    assert kept == [r["doc_id"] for i, r in enumerate(rows) if roots[i] == i]
+
+
 def plain_contamination(docs, items, window=10):
     def split(text):
         lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
