@@ -254,9 +254,10 @@ def with_language(docs: DataFrame, model: LanguageModel, lang: str, score: str)
     )
 
 
-def with_known_language(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
-    """Documents whose language is told with at least ``least_score``; all their columns. Where
-    no document teaches a language, all that have a letter stay."""
+def with_known_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """Documents whose language is told with a probability of at least ``least_score``, by
+    default more likely than not whatever the number of languages; all their columns. Where no
+    document teaches a language, all that have a letter stay."""
     model = fit(docs)
     lang, score = (fresh(n, docs.columns) for n in ("lf_lang", "lf_score"))
     if not model.languages:

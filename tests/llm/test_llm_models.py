@@ -57,6 +57,16 @@ def test_language_of_awkward_rows(spark):
     assert language_id.with_known_language(fx.documents(spark, [])).count() == 0
 
 
+def test_language_told_with_less_than_half_is_not_known(spark, monkeypatch):
+    def scored(docs, model, lang, score):
+        return docs.withColumns({lang: F.lit("en"), score: F.col("doc_id") / 100})
+
+    monkeypatch.setattr(language_id, "with_language", scored)
+    rows = [(i, "some words", "en", "s") for i in (29, 31, 49, 50, 70)]
+    kept = language_id.with_known_language(fx.documents(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [50, 70]
+
+
 def test_language_model_is_sparse_and_calibrated(spark):
     model = language_id.fit(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
     assert (model.weights == 0).mean() > 0.5
