@@ -76,16 +76,12 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sixteen shards under the law ``rows``: counts at most one apart."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
-    slim = read(spark, folder, "documents").select(
+    return sharding.shuffle_to_shards(docs, SHARDS).select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-    )
-    return sharding.shuffle_to_shards(slim, SHARDS).select(
-        "doc_id",
-        "size",
-        "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         F.col("slot").cast("long").alias("slot"),

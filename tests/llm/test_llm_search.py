@@ -368,3 +368,16 @@ def test_native_operators_plan_no_python(spark):
     for name in ("op9_license_scan", "op10_sharding"):
         plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_sharding_query_shuffles_whole_documents(spark, monkeypatch):
+    shuffle, seen = queries.sharding.shuffle_to_shards, []
+
+    def marked(df, *args):
+        seen.append(df.columns)
+        return shuffle(df, *args).withColumn("text", F.lit("seen"))
+
+    monkeypatch.setattr(queries.sharding, "shuffle_to_shards", marked)
+    got = queries.op10_sharding(spark, SMALL).select("size", "text_crc32").distinct().collect()
+    assert seen == [["doc_id", "text"]]
+    assert [tuple(r) for r in got] == [(5, fx.zlib.crc32(b"seen"))]
