@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.llm import (
+    alignment,
     bloom_lm,
     decontaminate,
     id_files,
@@ -14,6 +15,7 @@ from landfall.llm import (
     near_duplicates,
     packing,
     sharding,
+    token_counts,
     toxicity,
     winnowing,
 )
@@ -89,6 +91,14 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -100,4 +110,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_sharding": op10_sharding,
+    "op12_token_counts": op12_token_counts,
+    "op13_alignment": op13_alignment,
 }
