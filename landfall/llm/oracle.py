@@ -79,4 +79,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM docs LEFT JOIN hits USING (uid) LEFT JOIN named USING (uid)
 """
 
-ORACLE = {"op8_decontamination": OP8, "op9_license_scan": OP9}
+OP11 = rf"""
+WITH pieces AS (
+    SELECT lang, [x FOR x IN string_split_regex(piece, '[ \t]+') IF x <> ''] AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\n\x0B\f\r]')) AS piece
+          FROM documents)
+), counted AS (
+    SELECT lang, k, phrase, count(*) AS f
+    FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                FROM pieces, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k))
+    GROUP BY lang, k, phrase
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w
+    FROM counted WHERE k > 1 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.a, c.w, c.cut, l.f AS l, r.f AS r,
+           CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) AS c
+    JOIN counted AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.cut], ' ')
+    JOIN counted AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), worst AS (
+    SELECT * FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), longer AS (
+    SELECT lang, phrase, max(a) AS a
+    FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+          FROM candidates WHERE k = 3)
+    GROUP BY lang, phrase
+), kept AS (
+    SELECT worst.* FROM worst
+    LEFT JOIN longer ON longer.lang = worst.lang AND longer.phrase = worst.phrase
+    WHERE longer.a IS NULL OR 100 * longer.a < 50 * worst.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (
+          PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+JOIN totals USING (lang)
+WHERE rank <= 2000
+"""
+
+ORACLE = {"op8_decontamination": OP8, "op9_license_scan": OP9, "op11_phrases": OP11}

@@ -14,6 +14,7 @@ from landfall.llm import (
     licenses,
     near_duplicates,
     packing,
+    phrases,
     sharding,
     token_counts,
     toxicity,
@@ -91,6 +92,10 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents").select("lang", "text"))
+
+
 def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, folder, "documents").select("doc_id", "text"))
 
@@ -110,6 +115,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_sharding": op10_sharding,
+    "op11_phrases": op11_phrases,
     "op12_token_counts": op12_token_counts,
     "op13_alignment": op13_alignment,
 }
