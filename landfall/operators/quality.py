@@ -20,6 +20,11 @@ NOT_NULL = "not_null"
 UNIQUE = "unique"
 BAD_NUMBER = "bad_number"
 
+#: Columns of a report.
+REPORT = (
+    "table_name string, check_name string, column_name string, passed boolean, bad_rows long"
+)
+
 
 @dataclass(frozen=True)
 class TableRule:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,20 +37,23 @@ def clean_arrivals(
     dedupe: bool = True,
     zero_is_infant: bool = False,
     per_file: bool = True,
+    keep_file: bool = False,
 ) -> DataFrame:
     """Air arrivals with typed columns, date text and age band.
 
     Rows that agree in all recorded values are one arrival (``dedupe``). That is decided
     before cleaning, so rows that become equal only by cleaning stay apart. Where ``raw`` tells
     the month file of a row, equal rows of two files are two arrivals; without ``per_file`` they
-    are one.
+    are one. ``keep_file`` keeps the column that tells it.
     """
     air = air_arrivals(raw)
-    rows = project_arrivals(air)
+    kept = [FILE_MONTH] if keep_file else []
+    rows = air.select(*ARRIVAL_COLUMNS, *kept)
     if dedupe:
         by_file = [FILE_MONTH] if per_file and FILE_MONTH in raw.columns else []
         rows = distinct_of(air, [*ARRIVAL_COLUMNS, *by_file])
     typed = rows.select(
+        *kept,
         to_int("i94res").alias("country_of_residence_cd"),
         clean_code("i94port").cast("string").alias("port_of_entry"),
         valid_day_number("arrdate").alias("arrdate"),
@@ -70,8 +75,11 @@ def join_port(arrivals: DataFrame, ports: DataFrame) -> DataFrame:
     return enrich(arrivals, ports, "port_of_entry", "Code", ["City", "State"])
 
 
-def fact_arrivals(clean: DataFrame, ports: DataFrame) -> DataFrame:
-    """Arrivals counted per country, port, visa, date, month, age band, city and state.
+def fact_arrivals(
+    clean: DataFrame, ports: DataFrame, also: Sequence[str] = ()
+) -> DataFrame:
+    """Arrivals counted per country, port, visa, date, month, age band, city and state, and by
+    the columns ``also``.
 
     A port's code fixes its city and state (``ports`` is unique on ``Code``), so arrivals are
     counted by the other keys first and the two columns are joined to the counted groups:
@@ -79,6 +87,7 @@ def fact_arrivals(clean: DataFrame, ports: DataFrame) -> DataFrame:
     date text until then.
     """
     counted = clean.groupBy(
+        *also,
         "country_of_residence_cd",
         "port_of_entry",
         "visatype",
@@ -88,4 +97,4 @@ def fact_arrivals(clean: DataFrame, ports: DataFrame) -> DataFrame:
         "age_group",
     ).agg(F.count(F.lit(1)).alias("count"))
     dated = counted.withColumn("arrival_date", day_number_to_date("arrdate"))
-    return join_port(dated, ports).select(*FACT.names)
+    return join_port(dated, ports).select(*also, *FACT.names)

@@ -5,6 +5,7 @@ from landfall.sources.files import (
     bad_numbers,
     month_paths,
     read_arrivals,
+    read_arrivals_text,
     read_csv,
     read_csv_text,
     read_table,
@@ -28,6 +29,7 @@ __all__ = [
     "month_paths",
     "overwrite",
     "read_arrivals",
+    "read_arrivals_text",
     "read_csv",
     "read_csv_text",
     "read_table",

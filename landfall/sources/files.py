@@ -95,6 +95,29 @@ def month_paths(
     return [f"{root.rstrip('/')}/{name.format(month=m, yy=yy)}{suffix}" for m in months]
 
 
+def _file_month(name: str, year: int | str, suffix: str) -> Column:
+    """The number, from 1, of the month whose file a row came from, read off the file's path."""
+    pattern = re.escape(name).replace(re.escape("{month}"), f"({'|'.join(MONTHS)})")
+    pattern = pattern.replace(re.escape("{yy}"), str(year)[2:])
+    token = F.regexp_extract(F.col("_metadata.file_path"), f"{pattern}{re.escape(suffix)}(?:/|$)", 1)
+    return F.array_position(F.array(*map(F.lit, MONTHS)), token).cast("int").alias(FILE_MONTH)
+
+
+def read_arrivals_text(
+    spark: SparkSession,
+    root: str,
+    year: int | str,
+    months: Sequence[str] = MONTHS,
+    file_format: str = "csv",
+    name: str = MONTH_FILE,
+    suffix: str = "",
+) -> DataFrame:
+    """Arrivals of CSV month files as the text that they hold, with ``file_month``."""
+    scan = _text_scan(spark, month_paths(root, year, months, name, suffix), RAW_ARRIVALS)
+    columns = [F.col(quoted(column)) for column in RAW_ARRIVALS.names]
+    return scan.select(*columns, _file_month(name, year, suffix))
+
+
 def read_arrivals(
     spark: SparkSession,
     root: str,
@@ -109,23 +132,19 @@ def read_arrivals(
     ``file_month`` is the number, from 1, of the month whose file a row came from; it is read
     off the file's path.
     """
-    paths = month_paths(root, year, months, name, suffix)
-    pattern = re.escape(name).replace(re.escape("{month}"), f"({'|'.join(MONTHS)})")
-    pattern = pattern.replace(re.escape("{yy}"), str(year)[2:])
-    token = F.regexp_extract(F.col("_metadata.file_path"), f"{pattern}{re.escape(suffix)}(?:/|$)", 1)
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), token).cast("int").alias(FILE_MONTH)
     if file_format == "csv":
-        scan = _text_scan(spark, paths, RAW_ARRIVALS)
-        text = scan.select(*[F.col(quoted(column)) for column in RAW_ARRIVALS.names], month)
+        text = read_arrivals_text(spark, root, year, months, file_format, name, suffix)
         return typed(text, RAW_ARRIVALS)
+    paths = month_paths(root, year, months, name, suffix)
     scan = spark.read.schema(RAW_ARRIVALS).format(file_format).load(paths)
-    return scan.select(*RAW_ARRIVALS.names, month)
+    return scan.select(*RAW_ARRIVALS.names, _file_month(name, year, suffix))
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType | None = None
+    spark: SparkSession, path: str | list[str], schema: StructType | None = None
 ) -> DataFrame:
     """Parquet table; with ``schema`` an empty folder reads as an empty table."""
+    paths = [path] if isinstance(path, str) else path
     if schema is None:
-        return spark.read.parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+        return spark.read.parquet(*paths)
+    return spark.read.schema(schema).parquet(*paths).select(*schema.names)
