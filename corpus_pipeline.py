@@ -26,7 +26,7 @@ def language_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group whose SimHash fingerprints link."""
     return near_duplicates.one_of_each(docs)
 
 
