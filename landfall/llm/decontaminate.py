@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import slices, stored, utf8
+from landfall.llm.common import fresh, slices, stored, utf8
 
 #: Words of a full window; a shorter item is one window.
 WINDOW = 10
@@ -299,7 +299,14 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without any word of a benchmark window; all their columns. A document without
-    id stays if it is clean of itself: documents are told apart by id, null included."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("lf_bad"))
-    return docs.join(bad.distinct(), F.col("doc_id").eqNullSafe(F.col("lf_bad")), "left_anti")
+    """Documents without any word of a benchmark window; all their columns.
+
+    Every row is judged by itself: rows are told apart by their place in the stored input, so
+    rows without id, or with one id, do not share their fate. The rows that go are stored first,
+    so that the join is planned by their measured size.
+    """
+    uid = fresh("lf_uid", docs.columns)
+    rows = stored(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered-documents")
+    judged = contamination(rows.select(F.col(uid).alias("doc_id"), "text"), benchmark)
+    bad = judged.where("contaminated").select(F.col("doc_id").alias(uid))
+    return rows.join(stored(bad, "contaminated-documents"), uid, "left_anti").drop(uid)

@@ -14,12 +14,6 @@ The upper levels of each tree are grown from a sample and deal fingerprints out
 fingerprint has a home shard and visits those whose boundary it overlaps; within a shard a lower
 tree finds the pairs. Only the edges of a spanning forest leave a shard, so a group of copies
 never becomes all its pairs.
-
-Fingerprints estimate a similarity and do not decide it. ``one_of_each`` therefore links texts by
-the Jaccard similarity of their shingles itself. Candidates come from prefixes: with the shingles
-of every text in one order, two texts of similarity t share k shingles among the first
-n - ceil(t n) + k of each (k at most ceil(t n)), so no pair is lost; each candidate pair is then
-compared whole.
 """
 
 from __future__ import annotations
@@ -33,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import slices, stored, words
+from landfall.llm.common import fresh, slices, stored, words
 
 #: Fingerprints in a shard on average; the number of shards follows the input.
 SHARD_ROWS = 16_384
@@ -50,18 +44,6 @@ BLOCK = 256
 XXH_SEED = 42
 WORD_BITS = 64
 
-#: Words of a shingle, and the least similarity (numerator, denominator) that links two texts.
-SIMILAR_SHINGLE = 5
-LEAST_SIMILAR = (4, 5)
-
-#: Shingles that the prefixes of similar texts share at least, where the texts have so many.
-SHARED_SHINGLES = 8
-
-#: Documents from which frequent shingles are told, and how many of those are known at most. They
-#: decide the order of shingles only, hence the number of candidates and never the result.
-FREQUENT_SAMPLE = 8_000
-FREQUENT_MOST = 100_000
-
 BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="little")
 
 
@@ -95,10 +77,6 @@ class Fingerprints:
 #: The contract's fingerprint.
 EXACT = Fingerprints()
 
-#: Long fingerprints: texts whose 5-word shingles are 0.8 alike differ in 15 % of the bits, 39 of
-#: 256, on average, with a deviation of 6. An estimate; ``one_of_each`` compares the shingles.
-SIMILAR = Fingerprints(shingle=5, longs=4, parts=16, distance=42, radius=1)
-
 
 def shingle_hashes(tokens: list[bytes], size: int) -> np.ndarray:
     """XXH64 of every run of ``size`` words, space-joined; of all words if there are fewer."""
@@ -422,267 +400,26 @@ def groups(docs: DataFrame, kind: Fingerprints = EXACT) -> DataFrame:
     return prints.join(labelled, kind.columns)
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """The different shingles of a text as sorted 64-bit hashes."""
-    return np.unique(shingle_hashes(words(text), SIMILAR_SHINGLE))
-
-
-def set_node(hashes: np.ndarray) -> int:
-    """A signed 64-bit number that stands for a set of shingles."""
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - 2**63
-
-
-def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, rare ones first: it shares ``SHARED_SHINGLES`` of them, or
-    as many as it must have in common, with the prefix of any set ``LEAST_SIMILAR`` to it."""
-    share, whole = LEAST_SIMILAR
-    common = -(-share * len(hashes) // whole)
-    length = len(hashes) - common + min(SHARED_SHINGLES, common)
-    if not len(hashes) or not len(frequent):
-        return hashes[:length]
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    count = np.where(frequent[at] == hashes, counts[at], 0)
-    return hashes[np.argsort(count, kind="stable")[:length]]
-
-
-def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that several sampled texts have, and in how many they are."""
-    every = max(1, docs.count() // FREQUENT_SAMPLE)
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                sets = [shingle_set(text) for text in part.column("text").to_pylist()]
-                keys = np.concatenate(sets).view("i8") if sets else np.empty(0, "i8")
-                yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
-
-    rows = (
-        docs.select("text")
-        .where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-        .mapInArrow(hashed, "key long")
-        .groupBy("key")
-        .count()
-        .where("count >= 4")
-        .orderBy(F.desc("count"), "key")
-        .limit(FREQUENT_MOST)
-        .collect()
-    )
-    table = np.array([tuple(r) for r in rows], dtype="i8").reshape(-1, 2)
-    keys = np.ascontiguousarray(table[:, 0]).view("u8")
-    order = np.argsort(keys)
-    return keys[order], table[order, 1]
-
-
-def similar_pairs(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the ``pairs`` (a, b) of nodes whose shingle sets are similar, compared whole.
-
-    Only texts of nodes in ``pairs`` are read again: each node by one of its rows.
-    """
-    wanted = (
-        pairs.select(F.explode(F.array("a", "b")).alias("node"))
-        .distinct()
-        .join(nodes, "node")
-        .select(F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest"))
-        .distinct()
-    )
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                sets = [shingle_set(text) for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([set_node(s) for s in sets], pa.int64()),
-                        pa.array([s.view("i8") for s in sets], pa.list_(pa.int64())),
-                    ],
-                    names=["node", "hashes"],
-                )
-
-    sets = stored(
-        docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
-        .join(wanted, ["doc_id", "digest"])
-        .select("text")
-        .mapInArrow(hashed, "node long, hashes array<long>")
-        .dropDuplicates(["node"]),
-        "shingle-sets",
-    )
-    share, whole = LEAST_SIMILAR
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    either = F.size("of_a") + F.size("of_b") - both
-    return (
-        pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), "a")
-        .where(both * whole >= either * share)
-        .select("a", "b")
-    )
-
-
-def similar_groups(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id and component_id, the smallest doc_id of its group.
-
-    Two texts link if their 5-word shingles have a Jaccard similarity of 0.8 or more; a group is
-    what links connect. Nulls, repeated and missing ids count as in ``groups``. Shingles and sets
-    are told apart by 64-bit hashes.
+def one_of_each(docs: DataFrame, kind: Fingerprints = EXACT) -> DataFrame:
+    """``docs`` with one document of each group of linked fingerprints; all columns.
 
-    Of each shingle that several prefixes hold, all texts are compared with one first, which
-    joins crowds of copies by as many comparisons as they have rows. After that, pairs that share
-    a prefix shingle are compared unless they are in one group or were compared already.
+    The row with the smallest doc_id stays, one without id only if no row of its group has one;
+    of several rows with that id the first in the stored input. Rows are told apart by their
+    place there, so two texts under one id are two documents, linked by their fingerprints only.
+    Null and empty texts have no words and are one group, as in ``groups``. An empty table gives
+    no rows.
     """
-    docs = docs.select("doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                sets = [shingle_set(text) for text in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        part.column("digest"),
-                        pa.array([set_node(s) for s in sets], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int32()),
-                        pa.array(
-                            [prefix(s, *shared.value).view("i8") for s in sets],
-                            pa.list_(pa.int64()),
-                        ),
-                    ],
-                    names=["doc_id", "digest", "node", "size", "prefix"],
-                )
-
-    rows = stored(
-        docs.withColumn("digest", F.xxhash64("text")).mapInArrow(
-            shingled, "doc_id long, digest long, node long, size int, prefix array<long>"
-        ),
-        "shingle-prefixes",
-    )
-    known = rows.where("doc_id is not null")
-    nodes = stored(
-        known.groupBy("node").agg(
-            F.min(F.struct("doc_id", "digest")).alias("first"), F.max("size").alias("size")
-        ),
-        "shingle-nodes",
-    )
-    # one row of each node brings its prefix
-    entries = (
-        known.join(
-            nodes.select("node", "first.*"), ["node", "doc_id", "digest"], "left_semi"
-        )
-        .select("node", "size", "prefix")
-    )
-    entries = stored(entries, "node-prefixes").select(
-        "node", "size", F.explode("prefix").alias("key")
-    )
-    several = stored(
-        entries.groupBy("key")
-        .agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-        .where("hub <> last")
-        .drop("last"),
-        "prefix-hubs",
-    )
-    # a row that stands twice in the input brings its prefix twice
-    blocks = stored(entries.join(several, "key").distinct(), "prefix-blocks")
-    share, whole = LEAST_SIMILAR
-
-    def alike(a: str, b: str):
-        return (F.col(a) * whole >= F.col(b) * share) & (F.col(b) * whole >= F.col(a) * share)
-
-    def enough(a: str, b: str):
-        """Whether a pair shares as many prefix shingles as similar sets of its sizes do."""
-        needed = [F.ceil(F.col(c) * share / whole - 1e-6) for c in (a, b)]
-        return F.col("n") >= F.least(F.lit(SHARED_SHINGLES), *needed)
-
-    hubs = nodes.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"))
-    stars = stored(
-        blocks.where("node <> hub")
-        .groupBy("node", "size", "hub")
-        .agg(F.count("*").alias("n"))
-        .join(hubs, "hub")
-        .where(alike("size", "hub_size") & enough("size", "hub_size"))
-        .select(F.col("node").alias("a"), F.col("hub").alias("b")),
-        "star-pairs",
-    )
-    # rows with one doc_id and several sets tie those together
-    ties = known.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last"))
-    tied = (
-        known.join(ties.where("b <> last"), "doc_id")
-        .select(F.col("node").alias("a"), "b")
-        .where("a <> b")
-    )
-    edges = stored(similar_pairs(stars, nodes, docs).union(tied), "similar-pairs")
-    found = components(edges)
-
-    members = stored(
-        blocks.drop("hub")
-        .join(found, "node", "left")
-        .select("key", "node", "size", F.coalesce("component", "node").alias("label")),
-        "prefix-members",
-    )
-    labels = members.groupBy("key", "label").agg(
-        F.min("size").alias("low"), F.max("size").alias("high")
-    )
-    mixed = labels.groupBy("key").count().where("count > 1").select("key")
-    labels = stored(labels.join(mixed, "key", "left_semi"), "prefix-labels")
-    one, two = (
-        labels.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("label", "low", "high")])
-        for side in "ab"
-    )
-    apart = one.join(two, "key").where(
-        (F.col("label_a") > F.col("label_b"))
-        & (F.col("high_a") * whole >= F.col("low_b") * share)
-        & (F.col("high_b") * whole >= F.col("low_a") * share)
-    ).select("key", "label_a", "label_b")
-    left, right = (
-        members.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "size", "label")])
-        for side in "ab"
-    )
-    tried = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = stored(
-        apart.join(left, ["key", "label_a"])
-        .join(right, ["key", "label_b"])
-        .where(alike("size_a", "size_b"))
-        .groupBy("node_a", "node_b", "size_a", "size_b")
-        .agg(F.count("*").alias("n"))
-        .where(enough("size_a", "size_b"))
-        .select(
-            F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")
-        )
-        .join(tried, ["a", "b"], "left_anti"),
-        "cross-pairs",
-    )
-    more = stored(similar_pairs(rest, nodes, docs), "similar-pairs")
-    if not more.isEmpty():
-        found = components(edges.union(more))
-
-    labelled = stored(
-        nodes.join(found, "node", "left").select(
-            "node", "first.doc_id", F.coalesce("component", "node").alias("label")
-        ),
-        "node-groups",
-    )
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    placed = labelled.join(least, "label").select("node", "component_id")
-    return rows.select("doc_id", "node").join(placed, "node", "left").drop("node")
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of similar texts, the one with the smallest id;
-    all columns.
-
-    Of several rows with the kept id one stays. Documents without id stay.
-    """
-    grouped = stored(similar_groups(docs), "similar-groups")
-    dropped = (
-        grouped.where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("lf_dropped"))
-        .distinct()
-    )
-    kept = docs.join(dropped, F.col("doc_id") == F.col("lf_dropped"), "left_anti")
-    repeated = (
-        grouped.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    ).select(F.col("doc_id").alias("lf_repeated"))
-    if repeated.isEmpty():
-        return kept
-    again = F.col("doc_id") == F.col("lf_repeated")
-    return kept.join(repeated, again, "left_anti").unionByName(
-        kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id"])
+    uid = fresh("lf_uid", docs.columns)
+    rows = stored(docs.withColumn(uid, F.monotonically_increasing_id()), "numbered-documents")
+    texts = rows.select(F.col(uid).alias("doc_id"), "text")
+    of_row = groups(texts, kind).select(F.col("doc_id").alias(uid), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", uid))
+    kept = stored(
+        rows.select("doc_id", uid)
+        .join(of_row, uid)
+        .groupBy("component_id")
+        .agg(first.alias("first"))
+        .select(F.col(f"first.{uid}").alias(uid)),
+        "kept-documents",
     )
+    return rows.join(kept, uid, "left_semi").drop(uid)

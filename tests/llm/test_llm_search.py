@@ -52,7 +52,13 @@ def test_simhash_query_equals_brute_force(spark):
     assert sorted(map(tuple, queries.op7_simhash(spark, SMALL).collect())) == expected
 
 
-@pytest.mark.parametrize("kind", [near_duplicates.EXACT, near_duplicates.SIMILAR])
+KINDS = [
+    near_duplicates.EXACT,
+    near_duplicates.Fingerprints(shingle=5, longs=4, parts=16, distance=31, radius=1),
+]
+
+
+@pytest.mark.parametrize("kind", KINDS)
 def test_links_lose_none_across_many_shards(spark, monkeypatch, kind):
     monkeypatch.setattr(near_duplicates, "SHARD_ROWS", 64)
     rng = np.random.default_rng(3)
@@ -83,7 +89,7 @@ def test_links_lose_none_across_many_shards(spark, monkeypatch, kind):
     assert [found.get(i, i) for i in range(len(prints))] == roots
 
 
-@pytest.mark.parametrize("kind", [near_duplicates.EXACT, near_duplicates.SIMILAR])
+@pytest.mark.parametrize("kind", KINDS)
 def test_shard_tree_finds_what_comparing_all_finds(monkeypatch, kind):
     monkeypatch.setattr(near_duplicates, "BLOCK", 8)
     rng = np.random.default_rng(9)
@@ -130,87 +136,18 @@ def test_one_of_each_keeps_columns_and_one_row(spark):
     kept = near_duplicates.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=lambda i: (i is None, i))
-    assert ids == [0, 2, 5, 6, 7, 8, 9, 11, None]
-
-
-def test_similar_texts_link_and_others_do_not(spark):
-    rng = np.random.default_rng(1)
-    vocabulary = [f"w{i}" for i in range(5000)]
-    rows, pairs = [], []
-    for i in range(60):
-        words = [vocabulary[k] for k in rng.integers(0, 5000, 300)]
-        changed = list(words)
-        for k in rng.choice(300, 4, replace=False):  # shingles about 0.88 alike
-            changed[k] = "x"
-        rows += [(2 * i, " ".join(words), "en", "s"), (2 * i + 1, " ".join(changed), "en", "s")]
-        pairs.append(2 * i)
-    kept = near_duplicates.one_of_each(fx.documents(spark, rows))
-    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
-    assert set(pairs) <= ids
-    assert len(ids) <= len(pairs) + 3
-
-
-def plain_similar_groups(texts):
-    """Smallest index of each text's group by brute-force Jaccard of 5-word shingles >= 0.8."""
-    sets = []
-    for text in texts:
-        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
-        words = [w for w in re.split(r"[\x20\x09-\x0D]+", lowered) if w]
-        size = min(5, len(words))
-        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set())
-    root = list(range(len(sets)))
+    # both texts of id 2 stay: the null one stands for all without words
+    assert ids == [0, 2, 2, 5, 6, 7, 8, 9, 11, None]
+    assert near_duplicates.one_of_each(fx.documents(spark, [])).count() == 0
 
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
 
-    for i, one in enumerate(sets):
-        for j in range(i):
-            two = sets[j]
-            if 5 * min(len(one), len(two)) < 4 * max(len(one), len(two)):
-                continue
-            both = len(one & two)
-            if one == two or 5 * both >= 4 * (len(one) + len(two) - both) > 0:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(sets))]
-
-
-@pytest.mark.parametrize("sample", [8000, 50])
-def test_similar_groups_equal_brute_force_jaccard(spark, monkeypatch, sample):
-    monkeypatch.setattr(near_duplicates, "FREQUENT_SAMPLE", sample)
-    rng = np.random.default_rng(4)
-    passage = [f"p{i}" for i in range(60)]  # common to many, similar to none
-    texts = []
-    for i in range(120):
-        base = [f"w{k}" for k in rng.integers(0, 5000, int(rng.integers(80, 200)))]
-        texts.append(base + passage * (i % 3 == 0))
-        for edits in (3, 4, 5, 6):  # similarities on both sides of 0.8
-            changed = list(texts[-1])
-            for k in rng.choice(len(changed), edits, replace=False):
-                changed[k] = f"x{rng.integers(10**9)}"
-            texts.append(changed)
-    crowd = [f"c{k}" for k in rng.integers(0, 5000, 120)]
-    for _ in range(60):
-        changed = list(crowd)
-        for k in rng.choice(120, 2, replace=False):
-            changed[k] = f"y{rng.integers(10**9)}"
-        texts.append(changed)
-    texts = [" ".join(t) for t in texts]
-    roots = plain_similar_groups(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = dict(map(tuple, near_duplicates.similar_groups(docs).collect()))
-    assert got == dict(enumerate(roots))
-    assert 200 < len(set(roots)) < len(texts) - 100
-
-
-def test_one_of_each_equals_brute_force_jaccard_on_given_documents(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
-    roots = plain_similar_groups([r["text"] for r in rows])
-    kept = sorted(r["doc_id"] for r in near_duplicates.one_of_each(docs).select("doc_id").collect())
-    assert kept == [r["doc_id"] for i, r in enumerate(rows) if roots[i] == i]
+def test_one_of_each_prefers_rows_with_an_id(spark):
+    text = fx.ROWS[0][1]
+    rows = [(None, text, "en", "a"), (9, text, "en", "b"), (None, "alone " * 9, "en", "c"),
+            (None, "alone " * 9, "en", "d"), (9, "quite another text under one id", "en", "e")]
+    kept = near_duplicates.one_of_each(fx.documents(spark, rows).repartition(3))
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert fx.multiset(found) == fx.multiset([rows[1][:2], rows[2][:2], rows[4][:2]])
 
 
 def plain_contamination(docs, items, window=10):
@@ -272,6 +209,18 @@ def test_contamination_query_equals_brute_force(spark):
     assert fx.multiset(got) == plain_contamination(docs, items)
 
 
+def test_rows_are_judged_apart_whatever_their_ids(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, "clean", "en", "s"), (None, f"x {item} y", "en", "s"), (3, "clean", "en", "s"),
+            (4, item, "en", "s"), (4, "clean too", "en", "s")]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = fx.documents(spark, rows)
+    kept = decontaminate.without_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert fx.multiset(found) == fx.multiset([(None, "clean"), (3, "clean"), (4, "clean too")])
+
+
 def test_proximity(spark):
     got = decontaminate.proximity_matches(fx.documents(spark), "lazy fox", slop=4).collect()
     assert {tuple(r) for r in got} == {(i, 3, 5) for i in (0, 1, 10)}
@@ -348,7 +297,7 @@ def test_licence_texts_in_other_clothes(spark):
         (1, mit.replace(",", " ;").replace("\n", "\n\n"), "en", "s"),
         (2, mit + " and more", "en", "s"),
         (3, "text\n  LICENSED under the apache license version 2.0!\nReleased under the MIT License\n", "en", "s"),
-        *[(r[0] and r[0] + 10, *r[1:]) for r in fx.ROWS],
+        *[(None if r[0] is None else r[0] + 10, *r[1:]) for r in fx.ROWS],
     ]
     got = licenses.scan(fx.documents(spark, rows), licenses.known_digests(spark)).collect()
     assert len(got) == len(rows)
