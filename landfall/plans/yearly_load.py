@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -400,9 +399,10 @@ def audit(
 
     A rule without keys asks only whether the fact has rows, which its view by day answers.
     """
-    tables = {name: read(spark, lake, staged, name) for name in LAKE_TABLES}
+    sources = {rule.table: rule.table for rule in rules}
     if not any(rule.keys for rule in rules if rule.table == FACT_TABLE):
-        tables[FACT_TABLE] = read(spark, lake, staged, "view_days")
+        sources[FACT_TABLE] = "view_days"
+    tables = {name: read(spark, lake, staged, source) for name, source in sources.items()}
     also = [spark.createDataFrame(list(numbers), REPORT)] if numbers else []
     return enforce(tables, rules, fail_fast, also)
 

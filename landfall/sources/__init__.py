@@ -14,8 +14,6 @@ from landfall.sources.files import (
 from landfall.sources.scratch import scratch_folder
 from landfall.sources.sinks import (
     append,
-    drop_partition,
-    exists,
     overwrite,
     write_csv,
     write_partitioned,
@@ -24,8 +22,6 @@ from landfall.sources.sinks import (
 __all__ = [
     "append",
     "bad_numbers",
-    "drop_partition",
-    "exists",
     "month_paths",
     "overwrite",
     "read_arrivals",

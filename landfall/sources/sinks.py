@@ -48,15 +48,3 @@ def hadoop(spark: SparkSession, path: str):
     """A path and its file system, for what readers and writers of tables do not offer."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    path, files = hadoop(spark, path)
-    return files.exists(path)
-
-
-def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
-    """Remove the folder of one value of a table partitioned by ``column``; null included."""
-    text = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    folder, files = hadoop(spark, f"{path.rstrip('/')}/{column}={text}")
-    files.delete(folder, True)

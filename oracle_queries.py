@@ -194,6 +194,13 @@ def _star(select: str) -> str:
     return STAR + select
 
 
+def _corrected(select: str) -> str:
+    """The same after February's records of unknown age were taken out."""
+    air = "FROM raw_arrivals WHERE i94mode = 1\n"
+    kept = air.rstrip() + " AND NOT (i94mon = 2 AND i94bir IS NULL)\n"
+    return STAR.replace(air, kept) + select
+
+
 def _text(pattern: str) -> str:
     cleaned = f"regexp_replace(text, '{pattern}', '', 'g')"
     return f"SELECT doc_id, {cleaned} AS cleaned FROM documents"
@@ -366,6 +373,13 @@ ORACLE = {
     "load_year_visa": _star("SELECT * FROM by_visa"),
     "load_year_country": _star("SELECT * FROM by_country"),
     "load_year_city": _star("SELECT * FROM by_city"),
+    "reload_month_fact": _corrected("SELECT * FROM fact"),
+    "reload_month_dates": _corrected("SELECT * FROM dates"),
+    "reload_month_weekday": _corrected("SELECT * FROM by_weekday"),
+    "reload_month_visa": _corrected("SELECT * FROM by_visa"),
+    "reload_month_country": _corrected("SELECT * FROM by_country"),
+    "reload_month_city": _corrected("SELECT * FROM by_city"),
+    "failed_load_fact": _star("SELECT * FROM fact"),
     "sink_overwrite_readback": _star("SELECT * FROM raw_arrivals"),
     "sink_append_readback": _star("SELECT * FROM raw_arrivals"),
     "sink_partitioned_readback": _star("SELECT * FROM fact"),
