@@ -337,7 +337,8 @@ def test_sharding_of_awkward_rows(spark):
 
 
 def test_sharding_query(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 5_000)
+    monkeypatch.setattr(sharding, "LITERAL_LINES", 1)
     rows = {r[0]: r[1] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
     got = queries.op10_sharding(spark, SMALL).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(rows)
