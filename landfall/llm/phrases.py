@@ -10,10 +10,11 @@ level without counting phrases:
 3. The same for three words, at positions where both pairs lie in such buckets.
 4. One more scan lists the phrases in the buckets that are left: the candidates.
 
-They are counted exactly by double-array tries. A block of candidates of bounded size becomes a
-trie, which is broadcast; each task walks all word positions of its texts through it at once and
-counts the accepting states, and the tasks' counts are summed. More candidates take more blocks.
-What else is broadcast are bit tables of fixed size that may let a rare word or pair through.
+They are counted exactly by double-array tries of bounded size, which are broadcast; each task
+walks all word positions of its texts through a trie at once and counts the accepting states, and
+the tasks' counts are summed. A scan takes a few tries; more candidates take more scans. What else
+is broadcast are the buckets of a block and bit tables of fixed size, which may let a rare word or
+pair through.
 
 Words are told apart by 64-bit hashes. Whether any two words of the corpus share one is checked;
 then all is done again with another seed, so counts are exact.
@@ -24,10 +25,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +45,18 @@ LONGER_SHARE = 50
 SCALE = 1_000_000
 TOP = 2000
 
-#: Candidates of a trie; further ones take further tries, each with a scan of its own.
+#: Buckets that a scan lists the phrases of; further ones take further scans.
 BLOCK = 2_000_000
 
+#: Candidates of a trie, about, and tries that a scan walks through.
+TRIE_PHRASES = 400_000
+TRIES_PER_SCAN = 4
+
+#: Sequences or buckets of which a task sends what it found in one row, and words of a task,
+#: about.
+CHUNK = 65_536
+TASK_WORDS = 2_000_000
+
 #: Bits of the tables of frequent words and pairs: 16 MB each at any size of corpus.
 TABLE_BITS = 27
 BITMAP = 32_768
@@ -75,9 +87,9 @@ class Words:
     language: np.ndarray
     languages: list[str]
 
-    def text(self, first: int, last: int) -> str:
-        words = zip(self.start[first : last + 1].tolist(), self.length[first : last + 1].tolist())
-        return b" ".join(self.data[a : a + n] for a, n in words).decode("utf-8", "surrogatepass")
+    def word(self, at: int) -> str:
+        start = self.start[at]
+        return self.data[start : start + self.length[at]].decode("utf-8", "surrogatepass")
 
     def languages_of(self, at: np.ndarray) -> pa.Array:
         return pa.array([self.languages[i] for i in self.language[at].tolist()], pa.string())
@@ -139,7 +151,7 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     words.languages_of(at),
-                    pa.array([words.text(i, i) for i in at.tolist()], pa.string()),
+                    pa.array([words.word(i) for i in at.tolist()], pa.string()),
                     _signed(words.hashes[at]),
                     pa.array(np.concatenate([n, np.zeros(len(other), "i8")])),
                 ],
@@ -196,7 +208,7 @@ def hot_buckets(docs: DataFrame, seed: int, tables, size: int, bits: int, least:
             words = words_of(batch, seed)
             if len(words.start) < size:
                 continue
-            _, hashes = _safe(words, tables.value[: size - 1])
+            _, hashes = _safe(words, [t.value for t in tables[: size - 1]])
             bucket, n = np.unique(hashes >> np.uint64(64 - bits), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket.astype("i8")), pa.array(n.astype("i4"))], names=["bucket", "n"]
@@ -206,68 +218,178 @@ def hot_buckets(docs: DataFrame, seed: int, tables, size: int, bits: int, least:
     return sums.where(F.col("n") >= least).select(F.lit(size).alias("size"), "bucket")
 
 
-def listed(docs: DataFrame, seed: int, tables, hot, bits: int) -> DataFrame:
-    """(size, h1, h2, h3, lang, phrase): the different phrases in the buckets ``hot``."""
+LISTED = "size int, chunk int, salt int, phrases binary"
+
+
+def _distinct(table: pa.Table) -> np.ndarray:
+    """The different phrases of packed rows of one size, a line of hashes each."""
+    size = table.column("size")[0].as_py()
+    data = b"".join(table.column("phrases").to_pylist())
+    lines = np.unique(np.frombuffer(data, np.dtype((np.void, 8 * size))))
+    return np.frombuffer(lines.tobytes(), "<i8").reshape(-1, size)
+
+
+def listed(docs: DataFrame, seed: int, tables, hot, bits: int, salts: int) -> DataFrame:
+    """(size, h1, h2, h3): the different phrases in the buckets ``hot``, by their words' hashes.
+
+    A task sends each phrase once, packed by ranges of ``CHUNK`` buckets; they meet by groups of
+    tasks first, ``salts`` of them.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # of each bucket the phrase that the task met last
+        met = {size: np.zeros((size, len(b)), dtype="u8") for size, b in hot.value.items()}
+        sent: dict[int, list] = {size: [] for size in met}
         for batch in gathered(batches):
             words = words_of(batch, seed)
             for size, buckets in hot.value.items():
                 if not len(buckets) or len(words.start) < size:
                     continue
-                at, hashes = _safe(words, tables.value[: size - 1])
+                at, hashes = _safe(words, [t.value for t in tables[: size - 1]])
                 bucket = (hashes >> np.uint64(64 - bits)).astype("i8")
                 place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
                 hit = buckets[place] == bucket
-                at = at[hit][np.argsort(hashes[hit], kind="stable")]
+                at, place, hashes = at[hit], place[hit], hashes[hit]
                 parts = np.stack([words.hashes[at + i] for i in range(size)])
+                new = np.flatnonzero((parts != met[size][:, place]).any(axis=0))
+                new = new[np.argsort(hashes[new], kind="stable")]
+                parts, place = parts[:, new], place[new]
                 # neighbours in hash order that are the same phrase
-                new = np.ones(len(at), dtype=bool)
-                new[1:] = (parts[:, 1:] != parts[:, :-1]).any(axis=0)
-                at, parts = at[new], parts[:, new]
-                none = pa.array(np.zeros(len(at), "i8"))
-                columns = [_signed(p) for p in parts] + [none] * (MOST_WORDS - size)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(at), size, "i4")),
-                        *columns,
-                        words.languages_of(at),
-                        pa.array([words.text(i, i + size - 1) for i in at.tolist()], pa.string()),
-                    ],
-                    names=["size", "h1", "h2", "h3", "lang", "phrase"],
-                )
-
-    schema = "size int, h1 long, h2 long, h3 long, lang string, phrase string"
-    return docs.mapInArrow(found, schema).distinct()
-
-
-def trie_counts(docs: DataFrame, seed: int, candidates: DataFrame) -> DataFrame:
-    """(cid, n): how often each of the stored ``candidates`` (cid, size, h1, h2, h3) occurs."""
-    rows = candidates.select("cid", "size", "h1", "h2", "h3").toArrow()
-    columns = [rows.column(c).to_numpy() for c in ("cid", "size", "h1", "h2", "h3")]
-    trie = Trie.built(np.stack(columns[2:], axis=1).view("u8"), columns[1])
-    shared = docs.sparkSession.sparkContext.broadcast((trie, columns[0]))
+                first = np.ones(len(new), dtype=bool)
+                first[1:] = (parts[:, 1:] != parts[:, :-1]).any(axis=0)
+                parts, place = parts[:, first], place[first]
+                met[size][:, place] = parts
+                sent[size].append((place // CHUNK, parts))
+        rows = []
+        salt = TaskContext.get().partitionId() % salts
+        for size, pieces in sent.items():
+            if not pieces:
+                continue
+            chunk = np.concatenate([c for c, _ in pieces])
+            parts = np.concatenate([p for _, p in pieces], axis=1)
+            order = np.argsort(chunk, kind="stable")
+            chunk, lines = chunk[order], np.ascontiguousarray(parts[:, order].T)
+            for number in np.unique(chunk).tolist():
+                own = slice(*np.searchsorted(chunk, [number, number + 1]))
+                rows.append((size, number, salt, lines[own].tobytes()))
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        columns = [pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 4, kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["size", "chunk", "salt", "phrases"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        lines = pa.array([_distinct(table).tobytes()], pa.binary())
+        return table.slice(0, 1).drop(["phrases"]).append_column("phrases", lines)
+
+    def apart(table: pa.Table) -> pa.Table:
+        lines = _distinct(table)
+        size = lines.shape[1]
+        hashes = np.zeros((len(lines), MOST_WORDS), dtype="i8")
+        hashes[:, :size] = lines
+        columns = {f"h{i + 1}": hashes[:, i] for i in range(MOST_WORDS)}
+        return pa.table({"size": pa.array(np.full(len(lines), size, "i4")), **columns})
+
+    packed = docs.mapInArrow(found, LISTED)
+    if salts > 1:
+        packed = packed.groupBy("size", "chunk", "salt").applyInArrow(merge, LISTED)
+    return packed.groupBy("size", "chunk").applyInArrow(
+        apart, "size int, h1 long, h2 long, h3 long"
+    )
+
+
+def _packed(total: np.ndarray) -> tuple[bytes, bytes]:
+    """The places that are not zero, of two bytes each, and their counts of four, or of eight if
+    one needs them."""
+    at = np.flatnonzero(total)
+    kind = "<u4" if total.max(initial=0) < 2**32 else "<i8"
+    return at.astype("<u2").tobytes(), total[at].astype(kind).tobytes()
+
+
+def _unpacked_sum(table: pa.Table) -> np.ndarray:
+    total = np.zeros(CHUNK, dtype="i8")
+    for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
+        at = np.frombuffer(at, "<u2")
+        total[at] += np.frombuffer(n, "<u4" if len(n) == 4 * len(at) else "<i8")
+    return total
+
+
+COUNTS = "trie int, chunk int, salt int, at binary, n binary"
+
+
+def counted_by_tries(docs: DataFrame, seed: int, tries: list, salts: int) -> DataFrame:
+    """(cid, n): how often each sequence of the broadcast ``tries`` (trie, cids) occurs.
+
+    A task sends its counts in chunks of ``CHUNK`` sequences, so their sum takes a few rows per
+    task. They are summed by groups of tasks first, ``salts`` of them.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, cid = shared.value
-        total = np.zeros(len(cid), dtype="i8")
+        held = [shared.value[0] for shared in tries]
+        totals = [np.zeros(trie.sequences, dtype="i8") for trie in held]
         for batch in gathered(batches):
             words = words_of(batch, seed)
-            total += trie.counts(words.hashes, words.follows, MOST_WORDS)
+            for trie, total in zip(held, totals):
+                total += trie.counts(words.hashes, words.follows, MOST_WORDS)
+        salt = TaskContext.get().partitionId() % salts
+        rows = [
+            (number, at // CHUNK, salt, *_packed(total[at : at + CHUNK]))
+            for number, total in enumerate(totals)
+            for at in range(0, len(total), CHUNK)
+        ]
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        columns = [pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["trie", "chunk", "salt", "at", "n"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        at, n = _packed(_unpacked_sum(table))
+        return table.slice(0, 1).select(["trie", "chunk", "salt"]).append_column(
+            "at", pa.array([at], pa.binary())
+        ).append_column("n", pa.array([n], pa.binary()))
+
+    def named(table: pa.Table) -> pa.Table:
+        total = _unpacked_sum(table)
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cid[seen]), pa.array(total[seen])], names=["cid", "n"]
+        cid = tries[table.column("trie")[0].as_py()].value[1]
+        return pa.table(
+            {"cid": cid[seen + table.column("chunk")[0].as_py() * CHUNK], "n": total[seen]}
         )
 
-    counted = docs.mapInArrow(count, "cid long, n long")
-    return counted.groupBy("cid").agg(F.sum("n").alias("n"))
+    sent = docs.mapInArrow(count, COUNTS)
+    if salts > 1:
+        sent = sent.groupBy("trie", "chunk", "salt").applyInArrow(merge, COUNTS)
+    return sent.groupBy("trie", "chunk").applyInArrow(named, "cid long, n long")
+
+
+def exact_counts(
+    docs: DataFrame, seed: int, candidates: DataFrame, least: int, trie_phrases: int, salts: int
+) -> list[DataFrame]:
+    """The stored ``candidates`` (cid, size, h1, h2, h3) with ``n``, where that is ``least`` or
+    more. The driver builds one trie at a time."""
+    n_tries = max(1, -(-candidates.count() // trie_phrases))
+    number = F.pmod(F.xxhash64("h1", "h2"), F.lit(n_tries))
+
+    def built(which: int):
+        rows = candidates.where(number == which).toArrow()
+        hashes = np.stack([rows.column(c).to_numpy() for c in ("h1", "h2", "h3")], axis=1)
+        trie = Trie.built(hashes.view("u8"), rows.column("size").to_numpy().astype("i8"))
+        return docs.sparkSession.sparkContext.broadcast((trie, rows.column("cid").to_numpy()))
+
+    found = []
+    for first in range(0, n_tries, TRIES_PER_SCAN):
+        tries = [built(i) for i in range(first, min(first + TRIES_PER_SCAN, n_tries))]
+        counts = counted_by_tries(docs, seed, tries, salts).where(F.col("n") >= least)
+        found.append(stored(candidates.join(counts, "cid").drop("cid"), "phrase-counts"))
+    return found
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int = LEAST_COUNT, block: int = BLOCK
+    docs: DataFrame,
+    least: int = LEAST_COUNT,
+    block: int = BLOCK,
+    trie_phrases: int = TRIE_PHRASES,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(languages, words, phrases) of ``docs`` (lang, text): (lang, n), (lang, word, h, n) and
-    (lang, phrase, size, h1, h2, h3, n), words and phrases those with ``n >= least``."""
+    (size, h1, h2, h3, n), words and phrases those with ``n >= least``. A word's hash tells its
+    language as well."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text")
     for seed in range(64):
@@ -280,21 +402,21 @@ def frequent_phrases(
     total = languages.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = min(62, max(TABLE_BITS, (16 * total).bit_length()))
     words = words.where(F.col("n") >= least)
+    # about the root of the number of tasks
+    salts = 1 + isqrt(total // TASK_WORDS)
 
     def upper(column: str, width: int) -> Column:
         """The upper bits of a number of ``width`` bits."""
         return F.shiftrightunsigned(F.col(column), width - TABLE_BITS)
 
-    tables = [bit_table(words, upper("h", 64))]
+    share = spark.sparkContext.broadcast
+    tables = [share(bit_table(words, upper("h", 64)))]
     hot = []
     for size in range(2, MOST_WORDS + 1):
-        shared = spark.sparkContext.broadcast(tables)
-        hot.append(
-            stored(hot_buckets(docs, seed, shared, size, bits, least), f"phrase-buckets-{size}")
-        )
+        sums = hot_buckets(docs, seed, tables, size, bits, least)
+        hot.append(stored(sums, f"phrase-buckets-{size}"))
         if size < MOST_WORDS:
-            tables.append(bit_table(hot[-1], upper("bucket", bits)))
-    shared = spark.sparkContext.broadcast(tables)
+            tables.append(share(bit_table(hot[-1], upper("bucket", bits))))
     every = reduce(DataFrame.union, hot)
     blocks = max(1, -(-every.count() // block))
     parts = []
@@ -303,12 +425,11 @@ def frequent_phrases(
         rows = every.where(of_block).toArrow()
         sizes, buckets = (rows.column(c).to_numpy() for c in ("size", "bucket"))
         known = {s: np.sort(buckets[sizes == s]) for s in range(2, MOST_WORDS + 1)}
-        chosen = listed(docs, seed, shared, spark.sparkContext.broadcast(known), bits)
+        chosen = listed(docs, seed, tables, share(known), bits, salts)
         candidates = stored(
             chosen.withColumn("cid", F.monotonically_increasing_id()), "phrase-candidates"
         )
-        counts = trie_counts(docs, seed, candidates).where(F.col("n") >= least)
-        parts.append(stored(candidates.join(counts, "cid").drop("cid"), "phrase-counts"))
+        parts += exact_counts(docs, seed, candidates, least, trie_phrases, salts)
     return languages, words, reduce(DataFrame.union, parts)
 
 
@@ -322,36 +443,38 @@ def _score(a: str, left: str, right: str) -> Column:
 def scored(words: DataFrame, phrases: DataFrame) -> DataFrame:
     """(lang, phrase, size, a, l, r, score, h1, h2, h3): every phrase by its worst cut."""
 
-    def part(rows: DataFrame, *columns: str) -> DataFrame:
-        """The counts of phrases or words under other names."""
-        hashes = ["h"] if len(columns) == 2 else ["h1", "h2"]
-        return rows.select(
-            *[F.col(h).alias(c) for h, c in zip(hashes, columns)], F.col("n").alias(columns[-1])
+    def word(i: int) -> DataFrame:
+        """Words as the ``i``-th of a phrase."""
+        lang = [F.col("lang")] if i == 1 else []
+        return words.select(
+            *lang, F.col("h").alias(f"h{i}"), F.col("word").alias(f"w{i}"), F.col("n").alias(f"f{i}")
         )
 
-    named = phrases.withColumnRenamed("n", "a")
-    pairs = phrases.where("size = 2")
-    two = (
-        named.where("size = 2")
-        .join(part(words, "h1", "l"), "h1")
-        .join(part(words, "h2", "r"), "h2")
-        .withColumn("score", _score("a", "l", "r"))
-    )
+    def pair(first: str, second: str, count: str) -> DataFrame:
+        return phrases.where("size = 2").select(
+            F.col("h1").alias(first), F.col("h2").alias(second), F.col("n").alias(count)
+        )
+
+    named = phrases.withColumnRenamed("n", "a").join(word(1), "h1").join(word(2), "h2")
+    named = stored(named, "phrase-names")
+    two = named.where("size = 2").select(
+        "*", F.col("f1").alias("l"), F.col("f2").alias("r"), _score("a", "f1", "f2").alias("score"),
+        F.concat_ws(" ", "w1", "w2").alias("phrase"),
+    )
     three = (
         named.where("size = 3")
-        .join(part(words, "h1", "l1"), "h1")
-        .join(part(pairs, "h2", "h3", "r1"), ["h2", "h3"])
-        .join(part(pairs, "h1", "h2", "l2"), ["h1", "h2"])
-        .join(part(words, "h3", "r2"), "h3")
-        .withColumns({"s1": _score("a", "l1", "r1"), "s2": _score("a", "l2", "r2")})
+        .join(word(3), "h3")
+        .join(pair("h2", "h3", "f23"), ["h2", "h3"])
+        .join(pair("h1", "h2", "f12"), ["h1", "h2"])
+        .withColumns({"s1": _score("a", "f1", "f23"), "s2": _score("a", "f12", "f3")})
     )
     first = F.col("s1") <= F.col("s2")
-    three = three.withColumns(
-        {
-            "l": F.when(first, F.col("l1")).otherwise(F.col("l2")),
-            "r": F.when(first, F.col("r1")).otherwise(F.col("r2")),
-            "score": F.least("s1", "s2"),
-        }
+    three = three.select(
+        "*",
+        F.when(first, F.col("f1")).otherwise(F.col("f12")).alias("l"),
+        F.when(first, F.col("f23")).otherwise(F.col("f3")).alias("r"),
+        F.least("s1", "s2").alias("score"),
+        F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"),
     )
     columns = ["lang", "phrase", "size", "a", "l", "r", "score", "h1", "h2", "h3"]
     return two.select(*columns).unionByName(three.select(*columns))
@@ -391,7 +514,11 @@ def best_of_each(candidates: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, least: int = LEAST_COUNT, top: int = TOP, block: int = BLOCK
+    docs: DataFrame,
+    least: int = LEAST_COUNT,
+    top: int = TOP,
+    block: int = BLOCK,
+    trie_phrases: int = TRIE_PHRASES,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of each language of ``docs``
     (lang, text).
@@ -401,7 +528,7 @@ def collocations(
     phrase, and so an empty table, gives no rows. Equal rows count each; other columns are
     ignored. Ties in score and count follow the phrase's bytes.
     """
-    languages, words, phrases = frequent_phrases(docs, least, block)
+    languages, words, phrases = frequent_phrases(docs, least, block, trie_phrases)
     candidates = stored(scored(words, phrases), "phrase-scores")
     best = best_of_each(without_parts(candidates), top)
     return best.join(languages, "lang").select(

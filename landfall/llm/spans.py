@@ -57,7 +57,9 @@ def span_hashes(
 
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, length) of the runs of true values."""
-    edges = np.flatnonzero(np.diff(inside.view("i1"), prepend=0, append=0))
+    framed = np.zeros(len(inside) + 2, dtype=bool)
+    framed[1:-1] = inside
+    edges = np.flatnonzero(framed[1:] != framed[:-1])
     return edges[::2], edges[1::2] - edges[::2]
 
 

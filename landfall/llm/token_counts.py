@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm.common import utf8
-from landfall.llm.spans import gathered, lane, lanes, mixed, spans
+from landfall.llm.spans import gathered, lane, lanes, mixed
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048

@@ -51,8 +51,8 @@ def found(df):
     return sorted(map(tuple, df.collect()))
 
 
-@pytest.mark.parametrize("block", [10**6, 5])
-def test_awkward_rows_equal_brute_force(spark, block):
+@pytest.mark.parametrize(("block", "trie"), [(10**6, 10**6), (5, 10**6), (10**6, 3)])
+def test_awkward_rows_equal_brute_force(spark, block, trie):
     rows = [
         *fx.ROWS,
         (20, "a a a a a, a a a; a a", None, "s"),
@@ -63,7 +63,8 @@ def test_awkward_rows_equal_brute_force(spark, block):
     ]
     plain = [(r[2], r[1]) for r in rows]
     for least in (2, 3):
-        got = found(phrases.collocations(fx.documents(spark, rows), least=least, block=block))
+        docs = fx.documents(spark, rows)
+        got = found(phrases.collocations(docs, least=least, block=block, trie_phrases=trie))
         assert got == plain_collocations(plain, least)
         assert {"und", "en", "es"} <= {r[0] for r in got}
 
@@ -73,7 +74,10 @@ def test_nothing_frequent_and_no_rows(spark):
     assert phrases.collocations(fx.documents(spark, [])).count() == 0
 
 
-def test_random_texts_equal_brute_force(spark):
+@pytest.mark.parametrize("task_words", [phrases.TASK_WORDS, 40])
+def test_random_texts_equal_brute_force(spark, monkeypatch, task_words):
+    monkeypatch.setattr(phrases, "TASK_WORDS", task_words)  # 40: many groups of tasks
+    monkeypatch.setattr(phrases, "CHUNK", 64)
     rng = np.random.default_rng(3)
     marks = [" ", " ", " ", " ", "  ", "\t", ", ", ". ", "\n", "; "]
     rows = []
@@ -84,7 +88,7 @@ def test_random_texts_equal_brute_force(spark):
     docs = fx.documents(spark, rows).repartition(5)
     expected = plain_collocations([(r[2], r[1]) for r in rows], 10, top=40)
     assert found(phrases.collocations(docs, top=40)) == expected
-    assert found(phrases.collocations(docs, top=40, block=50)) == expected
+    assert found(phrases.collocations(docs, top=40, block=50, trie_phrases=9)) == expected
     assert len(expected) == 120
 
 
