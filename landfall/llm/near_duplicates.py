@@ -13,7 +13,8 @@ every pair, and prunes far more.
 The upper levels of each tree are grown from a sample and deal fingerprints out to shards. Each
 fingerprint has a home shard and visits those whose boundary it overlaps; within a shard a lower
 tree finds the pairs. Only the edges of a spanning forest leave a shard, so a group of copies
-never becomes all its pairs.
+never becomes all its pairs. A shard that a crowd of near copies fills is cut into blocks, so no
+task gets more than a fixed number of rows.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ from landfall.llm.common import fresh, slices, stored, words
 #: Fingerprints in a shard on average; the number of shards follows the input.
 SHARD_ROWS = 16_384
 
+#: Rows of a shard, visitors included, that one task searches at most; a fuller shard is cut into
+#: blocks of about half as many home rows and half as many rows that ask.
+SHARD_MOST = 131_072
+
 #: Sampled fingerprints per shard from which the upper tree is grown.
 SAMPLE_PER_SHARD = 32
 
@@ -280,23 +285,50 @@ def links(nodes: DataFrame, kind: Fingerprints = EXACT) -> DataFrame:
     shared = spark.sparkContext.broadcast(trees)
     names = ["node", *kind.columns]
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        prints = _matrix(batch, kind)
+        for number, tree in enumerate(shared.value):
+            row, shard, home = tree.shards(prints, kind.radius)
+            taken = pa.RecordBatch.from_arrays(
+                [batch.column(n) for n in names], names=names
+            ).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(row), number, dtype="i4")),
+                    pa.array(shard),
+                    pa.array(home),
+                    *taken.columns,
+                ],
+                names=["part", "shard", "home", *names],
+            )
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many rows each shard gets, per batch."""
         for batch in batches:
-            prints = _matrix(batch, kind)
-            for number, tree in enumerate(shared.value):
-                row, shard, home = tree.shards(prints, kind.radius)
-                taken = pa.RecordBatch.from_arrays(
-                    [batch.column(n) for n in names], names=names
-                ).take(pa.array(row))
+            for routed in placed(batch):
+                shard, rows = np.unique(routed.column("shard").to_numpy(), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(row), number, dtype="i4")),
-                        pa.array(shard),
-                        pa.array(home),
-                        *taken.columns,
-                    ],
-                    names=["part", "shard", "home", *names],
-                )
+                    [pa.array(np.full(len(shard), routed.column("part")[0].as_py(), "i4"))
+                     if len(shard) else pa.array([], pa.int32()),
+                     pa.array(shard), pa.array(rows)],
+                    names=["part", "shard", "rows"],
+                )
+
+    full = (
+        nodes.select(*names)
+        .mapInArrow(fill, "part int, shard long, rows long")
+        .groupBy("part", "shard")
+        .agg(F.sum("rows").alias("rows"))
+        .where(F.col("rows") > SHARD_MOST)
+        .collect()
+    )
+    blocks = {(r["part"], r["shard"]): -(-2 * r["rows"] // SHARD_MOST) for r in full}
+    cut = spark.sparkContext.broadcast(blocks)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for routed in placed(batch):
+                yield from in_blocks(routed, cut.value)
 
     def link(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
@@ -314,10 +346,52 @@ def links(nodes: DataFrame, kind: Fingerprints = EXACT) -> DataFrame:
 
     routed = nodes.select(*names).mapInArrow(
         route,
-        "part int, shard long, home boolean, "
+        "block long, part int, shard long, home boolean, "
         + ", ".join(f"{n} long" for n in names),
     )
-    return routed.groupBy("part", "shard").applyInArrow(link, "a long, b long").distinct()
+    return routed.groupBy("part", "shard", "block").applyInArrow(link, "a long, b long").distinct()
+
+
+def in_blocks(routed: pa.RecordBatch, cut: dict[tuple[int, int], int]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, shard, home, ...) of one part with their block of the shard, 0 if it is whole.
+
+    A shard cut into n has n times n blocks: block i * n + j is home to the rows of remainder i
+    and is asked by those of remainder j, so every home row meets every row of the shard once.
+    """
+
+    def with_block(rows: pa.RecordBatch, block: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+        others = [rows.column(c) for c in rows.schema.names if c not in ("part", "shard", "home")]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(block), rows.column("part"), rows.column("shard"), pa.array(home), *others],
+            names=["block", *rows.schema.names],
+        )
+
+    shard = routed.column("shard").to_numpy()
+    home = routed.column("home").to_numpy(zero_copy_only=False)
+    part = routed.column("part")[0].as_py() if len(shard) else 0
+    whole = np.ones(len(shard), dtype=bool)
+    for (of_part, number), n in cut.items():
+        if of_part != part:
+            continue
+        here = np.flatnonzero(shard == number)
+        whole[here] = False
+        rows = routed.take(pa.array(here))
+        own = _remixed(rows.column("node").to_numpy().view("u8"), 1) % np.uint64(n)
+        own, lives = own.astype("i8"), home[here]
+        for other in range(n):
+            # as one that is asked, against the askers of remainder ``other``
+            kept = np.flatnonzero(lives)
+            yield with_block(
+                rows.take(pa.array(kept)), own[kept] * n + other, np.ones(len(kept), dtype=bool)
+            )
+            # as one that asks the home rows of remainder ``other``; it is there already if it
+            # is one of them
+            kept = np.flatnonzero(~lives | (own != other))
+            yield with_block(
+                rows.take(pa.array(kept)), other * n + own[kept], np.zeros(len(kept), dtype=bool)
+            )
+    rest = np.flatnonzero(whole)
+    yield with_block(routed.take(pa.array(rest)), np.zeros(len(rest), "i8"), home[rest])
 
 
 def _matrix(batch: pa.RecordBatch | pa.Table, kind: Fingerprints) -> np.ndarray:
@@ -422,4 +496,5 @@ def one_of_each(docs: DataFrame, kind: Fingerprints = EXACT) -> DataFrame:
         .select(F.col(f"first.{uid}").alias(uid)),
         "kept-documents",
     )
-    return rows.join(kept, uid, "left_semi").drop(uid)
+    # most rows are kept, so both sides travel, at small sizes as at large ones
+    return rows.join(kept.hint("merge"), uid, "left_semi").drop(uid)
