@@ -6,6 +6,8 @@ SHA-256 digests, and the lookup is a hash join on the digest.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,62 +29,25 @@ SPELLINGS = [
     ("per cent", "percent"),
 ]
 
-# Known licences and notices (id, text).
-KNOWN = [
-    (
-        "MIT",
-        """MIT License
-
-Copyright (c) <year> <copyright holders>
-
-Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
-associated documentation files (the "Software"), to deal in the Software without restriction,
-including without limitation the rights to use, copy, modify, merge, publish, distribute,
-sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
-furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or
-substantial portions of the Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT
-NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND
-NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM,
-DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
-OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
-    ),
-    (
-        "ISC",
-        """ISC License
-
-Copyright (c) <year> <copyright holders>
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without
-fee is hereby granted, provided that the above copyright notice and this permission notice appear
-in all copies.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS
-SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE
-AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
-WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
-NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE
-OF THIS SOFTWARE.""",
-    ),
-    (
-        "0BSD",
-        """BSD Zero Clause License
-
-Copyright (c) <year> <copyright holders>
-
-Permission to use, copy, modify, and/or distribute this software for any purpose with or without
-fee is hereby granted.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS
-SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE
-AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
-WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
-NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE
-OF THIS SOFTWARE.""",
-    ),
+#: Complete licence texts, one file each, named by their SPDX ids; a title comes first.
+TEXTS = Path(__file__).parent / "licence_texts"
+
+# Further titles under which short licences are found.
+TITLES = {
+    "MIT": ["The MIT License (MIT)", "The MIT License", "Expat License", "MIT/X11 License"],
+    "MIT-0": ["MIT No Attribution License", "MIT-0 License"],
+    "ISC": ["The ISC License", "Internet Systems Consortium license"],
+    "0BSD": ["Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "Zero Clause BSD License"],
+    "BSD-2-Clause": ["The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["The 3-Clause BSD License", "The BSD 3-Clause License", "BSD License",
+                     "New BSD License", "Modified BSD License", "The BSD License"],
+    "Unlicense": ["UNLICENSE", "Unlicense License"],
+    "Zlib": ["The zlib License", "zlib/libpng License"],
+    "BSL-1.0": ["Boost Software License", "The Boost Software License, Version 1.0"],
+}
+
+# Notices that stand for a licence (id, text).
+NOTICES = [
     ("MIT-notice", "Released under the MIT License."),
     ("Apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
     ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
@@ -92,12 +57,34 @@ OF THIS SOFTWARE.""",
     ),
 ]
 
+#: After it some licences tell how to apply them.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+#: A line that is a copyright notice: behind the word or the sign comes a sign, a year or a place
+#: for one. Lines of the licence that begin with the word by chance are none of those.
+NOTICE_LINE = (
+    r"^[ \t]*(?:(?:copyright[ \t:]*)?(?:\(c\)|©)|copyright[ \t:]+(?:[0-9]{4}|<|\[|\{|yyyy))[^\n]*$"
+    r"|^[ \t]*all rights reserved[ \t.]*$"
+)
+
+
+def known_texts() -> list[tuple[str, str, str, str]]:
+    """(id, title, terms, appendix) of all known licences and notices; a licence with several
+    titles stands there several times."""
+    out = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        title, _, rest = path.read_text(encoding="utf-8").strip().partition("\n\n")
+        terms, end, appendix = rest.partition(END_OF_TERMS)
+        for name in [title, *TITLES.get(path.stem, [])]:
+            out.append((path.stem, name, terms + end, appendix))
+    return [*out, *[(name, "", text, "") for name, text in NOTICES]]
+
 
 def normal_lines(text: str | Column) -> Column:
     """The text lower-cased, line by line, with copyright lines emptied, all that is no letter
     or digit turned into single spaces, and equivalent spellings made one. Null stays null."""
     text = F.col(text) if isinstance(text, str) else text
-    lines = F.regexp_replace(F.lower(text), r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$", "")
+    lines = F.regexp_replace(F.lower(text), f"(?m){NOTICE_LINE}", "")
     plain = F.regexp_replace(lines, r"[^\p{L}\p{N}\n]+", " ")
     for written, taken in SPELLINGS:
         plain = F.replace(plain, F.lit(written), F.lit(taken))
@@ -109,11 +96,23 @@ def normal_text(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(license_id, license_digest, license_chars), one row per different normal form."""
-    table = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("t")) for i, t in known])
-    texts = spark.range(1).select(F.inline(table).alias("license_id", "text"))
-    return digests_of(texts, "license_id", "text")
+def known_digests(spark: SparkSession) -> DataFrame:
+    """(license_id, license_digest, license_chars), one row per different normal form of a known
+    text: with its title or one of its others or none, with its appendix or without."""
+    rows = [
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(("i", "title", "terms", "appendix"), row)])
+        for row in known_texts()
+    ]
+    texts = spark.range(1).select(F.inline(F.array(*rows)))
+    whole = F.concat_ws("\n", "title", "terms", "appendix")
+    variants = F.array(
+        whole,
+        F.concat_ws("\n", "terms", "appendix"),
+        F.concat_ws("\n", "title", "terms"),
+        F.col("terms"),
+    )
+    every = texts.select(F.col("i").alias("license_id"), F.explode(variants).alias("text"))
+    return stored(digests_of(every, "license_id", "text"), "known-licenses")
 
 
 def digests_of(texts: DataFrame, key: str, text: str) -> DataFrame:

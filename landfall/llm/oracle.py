@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landfall.llm.licenses import KNOWN, SPELLINGS
+from landfall.llm.licenses import NOTICE_LINE, SPELLINGS, known_texts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -13,9 +13,7 @@ def _quoted(text: str) -> str:
 
 def _normal(text: str) -> str:
     """A text's normal form with its line ends."""
-    no_copyright = (
-        rf"regexp_replace(lower({text}), '^[ \t]*(?:copyright|\(c\)|©)[^\n]*$', '', 'gm')"
-    )
+    no_copyright = f"regexp_replace(lower({text}), '(?m){NOTICE_LINE}', '', 'g')"
     plain = rf"regexp_replace({no_copyright}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
     for written, taken in SPELLINGS:
         plain = f"replace({plain}, {_quoted(written)}, {_quoted(taken)})"
@@ -24,11 +22,16 @@ def _normal(text: str) -> str:
 
 _ONE_LINE = r"trim(regexp_replace({}, '[ \n]+', ' ', 'g'))"
 
+_KNOWN = ", ".join("(" + ", ".join(map(_quoted, row)) + ")" for row in known_texts())
+
 OP9 = f"""
 WITH known AS (
     SELECT sha256(n) AS digest, min(id) AS license_id
     FROM (SELECT id, {_ONE_LINE.format(_normal("t"))} AS n
-          FROM (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)}) AS v(id, t))
+          FROM (SELECT id, unnest([title || chr(10) || terms || chr(10) || appendix,
+                                   terms || chr(10) || appendix,
+                                   title || chr(10) || terms, terms]) AS t
+                FROM (VALUES {_KNOWN}) AS v(id, title, terms, appendix)))
     WHERE n <> '' GROUP BY n
 ), docs AS (
     SELECT row_number() OVER () AS uid, doc_id, {_normal("text")} AS lines FROM documents

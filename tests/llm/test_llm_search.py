@@ -2,14 +2,17 @@
 
 import hashlib
 import re
+import textwrap
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import llm_fixtures as fx
+from compare import duckdb_result, spark_result
 from landfall.llm import decontaminate, licenses, near_duplicates, queries, winnowing
 
 SMALL = "/root/testdata/sf0.001"
@@ -58,9 +61,11 @@ KINDS = [
 ]
 
 
+@pytest.mark.parametrize("most", [10**6, 40])
 @pytest.mark.parametrize("kind", KINDS)
-def test_links_lose_none_across_many_shards(spark, monkeypatch, kind):
+def test_links_lose_none_across_many_shards(spark, monkeypatch, kind, most):
     monkeypatch.setattr(near_duplicates, "SHARD_ROWS", 64)
+    monkeypatch.setattr(near_duplicates, "SHARD_MOST", most)
     rng = np.random.default_rng(3)
     bits = 64 * kind.longs
     # pairs within the distance that the parts guarantee
@@ -89,6 +94,34 @@ def test_links_lose_none_across_many_shards(spark, monkeypatch, kind):
     assert [found.get(i, i) for i in range(len(prints))] == roots
 
 
+def test_blocks_of_a_full_shard_are_small_and_every_pair_meets_once():
+    rng = np.random.default_rng(2)
+    n_rows, cuts = 3000, 7
+    node = rng.permutation(n_rows).astype("i8")
+    home = rng.random(n_rows) < 0.6
+    routed = near_duplicates.pa.RecordBatch.from_pydict(
+        {"part": np.full(n_rows, 1, "i4"), "shard": np.where(node < 2500, 5, 6), "home": home,
+         "node": node, "f0": node}
+    )
+    met, sizes = defaultdict(int), defaultdict(int)
+    groups = defaultdict(lambda: ([], []))
+    for batch in near_duplicates.in_blocks(routed, {(1, 5): cuts, (0, 6): 3}):
+        for row in batch.to_pylist():
+            groups[row["shard"], row["block"]][0 if row["home"] else 1].append(row["node"])
+    for (shard, block), (homes, asking) in groups.items():
+        sizes[shard] = max(sizes[shard], len(homes) + len(asking))
+        if shard == 5:
+            assert not set(homes) & set(asking)
+            met[block // cuts] += len(asking)
+    assert sizes[6] == 500 and sizes[5] < 2 * 2 * 2500 / cuts
+    homes = {n for (s, _), g in groups.items() if s == 5 for n in g[0]}
+    assert homes == set(node[home & (node < 2500)].tolist())
+    # each block of home rows is asked by every row of the shard but itself
+    own = {b: {n for (s, k), g in groups.items() if s == 5 and k // cuts == b for n in g[0]}
+           for b in range(cuts)}
+    assert all(met[b] == 2500 - len(own[b]) for b in range(cuts))
+
+
 @pytest.mark.parametrize("kind", KINDS)
 def test_shard_tree_finds_what_comparing_all_finds(monkeypatch, kind):
     monkeypatch.setattr(near_duplicates, "BLOCK", 8)
@@ -289,8 +322,12 @@ def test_edits_of_one_and_no_document(spark):
     assert winnowing.fingerprints(fx.documents(spark)).count() == len(fx.ROWS)
 
 
+def licence(name):
+    return (licenses.TEXTS / f"{name}.txt").read_text(encoding="utf-8")
+
+
 def test_licence_texts_in_other_clothes(spark):
-    mit = dict(licenses.KNOWN)["MIT"]
+    mit = licence("MIT")
     dressed = mit.upper().replace("SUBLICENSE", "SUBLICENCE").replace("<YEAR>", "2021 Someone")
     rows = [
         (0, dressed, "en", "s"),
@@ -313,6 +350,55 @@ def test_licence_texts_in_other_clothes(spark):
     assert licenses.scan(fx.documents(spark, []), licenses.known_digests(spark)).count() == 0
 
 
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in text.split("\n\n"))
+
+
+def test_every_known_licence_is_found_however_it_is_wrapped(spark):
+    names = sorted(path.stem for path in licenses.TEXTS.glob("*.txt"))
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
+            "MPL-2.0", "CC0-1.0", "Unlicense", "Zlib", "ISC", "BSL-1.0"} <= set(names)
+    rows, expected = [], []
+
+    def add(name, text):
+        rows.append((len(rows), text, "en", "s"))
+        expected.append(name)
+
+    for name in names:
+        text = licence(name)
+        title, _, rest = text.strip().partition("\n\n")
+        add(name, text)
+        add(name, rest)
+        add(name, wrapped(rest, 61) if name in licenses.TITLES else text.replace("\n", "\r\n"))
+        if licenses.END_OF_TERMS in text:
+            add(name, text.partition(licenses.END_OF_TERMS)[0] + licenses.END_OF_TERMS)
+    mit = licence("MIT")
+    body = mit.partition("\n\n")[2]
+    add("MIT", "The MIT License (MIT)\n\n" + body)
+    held = "Copyright 2020-2024 A. Holder\nAll rights reserved.\n"
+    add("MIT", mit.replace("Copyright (c) <year> <copyright holders>\n", held))
+    add("MIT", body.replace("copyright notice", "\ncopyright notice").replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS"))
+    add(None, body.replace("copyright notice and", ""))
+    add(None, mit.replace("free of charge, ", ""))
+    got = licenses.scan(fx.documents(spark, rows), licenses.known_digests(spark)).collect()
+    found = {r["doc_id"]: r["license_id"] for r in got}
+    assert [found[i] for i in range(len(rows))] == expected
+
+
+def test_licence_query_equals_sql_on_a_table_of_licences(spark, folder):
+    names = sorted(path.stem for path in licenses.TEXTS.glob("*.txt"))
+    rows = [(i, wrapped(licence(n), 40 + i) if i % 2 else licence(n), "en", "s") for i, n in enumerate(names)]
+    rows += [(100, held + licence("ISC"), "en", "s") for held in ("", "Copyright 2001 X\n", "copyright law\n")]
+    spark.createDataFrame([*rows, *fx.ROWS], fx.SCHEMA).coalesce(1).write.parquet(folder + "/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/d/*.parquet'")
+    expected_schema, expected = duckdb_result(con, queries.ORACLE["op9_license_scan"])
+    docs = spark.read.parquet(folder + "/d")
+    schema, got = spark_result(licenses.scan(docs, licenses.known_digests(spark)))
+    assert schema == expected_schema and got == expected
+    assert sum(row[schema.index(("license_id", "VARCHAR"))] is not None for row in got) >= len(names) // 2
+
+
 def test_native_operators_plan_no_python(spark):
     for name in ("op9_license_scan", "op10_sharding"):
         plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
