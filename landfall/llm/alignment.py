@@ -18,6 +18,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +27,29 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import stored, utf8
 from landfall.llm.spans import gathered
-from landfall.llm.tokens import BEFORE_VISIBLE, BYTE_LETTERS, INVISIBLE, Encoder
+from landfall.llm.tokens import BYTE_LETTERS, INVISIBLE, Encoder, as_ids
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
-#: Words whose ids a worker remembers for each tokenizer: two generations of this size.
-GENERATION = 300_000
+#: Words whose ids a worker remembers: two generations of this size.
+GENERATION = 400_000
 LONGEST_KEPT = 64
 
 #: Text bytes that are aligned together.
 BATCH_BYTES = 2_000_000
 
+#: Added to ids of the second tokenizer where those of both stand together.
+OF_B = 1 << 31
+
 SPACE_MARK = "▁"
+END_MARKS = ".,;:!?"
+
+#: The first tokenizer begins a new piece at a blank before a visible character, whose ids may
+#: be had apart.
+BEFORE_VISIBLE_KEPT = re.compile(rf"(?= [^\s{INVISIBLE}])")
+
+#: A blank that both tokenizers do not simply keep with the word behind it.
+NOT_SIMPLE = re.compile(rf" (?=[\s{INVISIBLE}]|\Z)")
 
 #: A run of blanks belongs to what follows it, for the second tokenizer.
 BEFORE_BLANKS = re.compile("(?<=[^ ])(?= )")
@@ -50,8 +62,8 @@ class _Odd(Exception):
 class PlainEncoder(Encoder):
     """Ids of texts by the first tokenizer, special tokens' strings being plain text."""
 
-    def __init__(self, path: str, generation: int):
-        super().__init__(path, generation)
+    def __init__(self, path: str):
+        super().__init__(path, 0)
         self.tokenizer.encode_special_tokens = True
         letters = {BYTE_LETTERS.get(byte, chr(byte)): byte for byte in range(256)}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -59,34 +71,68 @@ class PlainEncoder(Encoder):
         for token, number in vocabulary.items():
             self.pieces[number] = bytes(letters[c] for c in token)
 
+    def ids(self, text: str) -> bytes:
+        return self._ids(text) if text else b""
+
 
-class PieceEncoder(dict):
-    """Ids of blank-led words by the second tokenizer, in two generations. A word whose tokens'
-    bytes are not its own is not held."""
+class PieceEncoder:
+    """Ids of texts by the second tokenizer, which puts a blank before them; ``OF_B`` is added
+    to each."""
 
-    def __init__(self, path: str, generation: int):
+    def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.generation, self.old = generation, {}
         self.pieces = [self._bytes(i) for i in range(self.model.get_piece_size())]
-        self.blank = array("I", [self.model.piece_to_id(SPACE_MARK)]).tobytes()
 
     def _bytes(self, number: int) -> bytes:
         if self.model.is_byte(number):
             return bytes([int(self.model.id_to_piece(number)[3:5], 16)])
         return self.model.id_to_piece(number).replace(SPACE_MARK, " ").encode()
 
+    def ids(self, text: str) -> bytes:
+        return array("I", [i + OF_B for i in self.model.encode(text)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """The ids of ``word`` behind a blank, whose bytes must be those of the tokens."""
+        # nothing is put before an empty text
+        numbers = self.model.encode(word) if word else [self.model.piece_to_id(SPACE_MARK)]
+        if b"".join(map(self.pieces.__getitem__, numbers)) != b" " + utf8(word):
+            raise _Odd
+        return array("I", [i + OF_B for i in numbers]).tobytes()
+
+
+class Pair(dict):
+    """Both tokenizers, and the ids of both for blank-led words, remembered in two generations:
+    first those of the first tokenizer, then those of the second with ``OF_B`` added."""
+
+    def __init__(self, path_a: str, path_b: str, generation: int = GENERATION):
+        super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.a, self.b = PlainEncoder(path_a), PieceEncoder(path_b)
+        self.generation, self.old = generation, {}
+        self.length_a, self.length_b = (
+            np.array([len(p) for p in side.pieces], dtype="i8") for side in (self.a, self.b)
+        )
+        # marks that no token of b holds behind a letter stand by themselves there; those of a
+        # never begin with a letter and go on with a mark
+        joined = {
+            mark for piece in self.b.pieces
+            for letter, mark in pairwise(piece.decode(errors="replace")) if letter.isalpha()
+        }
+        self.marks = {}
+        for mark in END_MARKS:
+            number = self.b.model.piece_to_id(mark)
+            if mark not in joined and self.b.pieces[number] == mark.encode():
+                self.marks[mark] = self.a.ids(mark) + array("I", [number + OF_B]).tobytes()
+
     def __missing__(self, word: str) -> bytes:
-        """The ids of ``word`` behind a blank."""
         ids = self.old.get(word)
         if ids is None:
-            # nothing is put before an empty text
-            ids = array("I", self.model.encode(word)).tobytes() if word else self.blank
-            found = b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-            if found != b" " + utf8(word):
-                raise _Odd
+            if word[-1:] in self.marks and word[:-1].isalpha():
+                ids = self[word[:-1]] + self.marks[word[-1]]
+            else:
+                ids = self.a.ids(" " + word) + self.b.word(word)
         if len(word) <= LONGEST_KEPT:
             if len(self) >= self.generation:
                 self.old = dict(self)
@@ -94,50 +140,36 @@ class PieceEncoder(dict):
             self[word] = ids
         return ids
 
-
-class Pair:
-    """Both tokenizers, with the bytes of every token."""
-
-    def __init__(self, path_a: str, path_b: str, generation: int = GENERATION):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a, self.b = PlainEncoder(path_a, generation), PieceEncoder(path_b, generation)
-        self.length_a, self.length_b = (
-            np.array([len(p) for p in side.pieces], dtype="i8") for side in (self.a, self.b)
-        )
-
-    def ids(self, text: str | None) -> tuple[bytes, bytes] | None:
-        """The ids of a blank and ``text``, of ``text``; None if there are none, or if the
-        tokens' bytes are not those of the blank and the text."""
+    def ids(self, text: str | None) -> bytes | None:
+        """The ids that the first tokenizer gives for a blank and ``text``, and the second for
+        ``text``, mixed; None if there are none, or if the tokens' bytes are not those of the
+        blank and the text."""
         if not text:
             return None
-        words = text.split(" ")
         try:
-            if not all(words):
+            if NOT_SIMPLE.search(" " + text):
                 raise _Odd
-            for word in words:
-                if word[0].isspace() or word[0] in INVISIBLE:
-                    raise _Odd
-            return (
-                b"".join(map(self.a.later.__getitem__, words)),
-                b"".join(map(self.b.__getitem__, words)),
-            )
+            return b"".join(map(self.__getitem__, text.split(" ")))
         except _Odd:
             return self._whole(text)
 
-    def _whole(self, text: str) -> tuple[bytes, bytes] | None:
-        pieces = BEFORE_VISIBLE.split(" " + text)
-        a = self.a.first[pieces[0]] if pieces[0] else b""
-        a += b"".join(map(self.a.later.__getitem__, pieces[1:]))
+    def _whole(self, text: str) -> bytes | None:
+        a = b"".join(map(self.a.ids, BEFORE_VISIBLE_KEPT.split(" " + text)))
         try:
-            b = b"".join(self.b[word[1:]] for word in BEFORE_BLANKS.split(" " + text))
+            b = b"".join(self.b.word(word[1:]) for word in BEFORE_BLANKS.split(" " + text))
         except _Odd:
-            b = array("I", self.b.model.encode(text)).tobytes()
+            b = self.b.ids(text)
         whole = b" " + utf8(text)
-        for side, ids in ((self.a, a), (self.b, b)):
-            numbers = np.frombuffer(ids, "<u4").tolist()
-            if b"".join(map(side.pieces.__getitem__, numbers)) != whole:
+        for side, ids in ((self.a, as_ids(a)), (self.b, as_ids(b) - np.uint32(OF_B))):
+            if b"".join(map(side.pieces.__getitem__, ids.tolist())) != whole:
                 return None
-        return a, b
+        return a + b
+
+
+def separated(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the first and of the second tokenizer."""
+    of_b = mixed >= OF_B
+    return mixed[~of_b], mixed[of_b] - np.uint32(OF_B)
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -247,21 +279,20 @@ def aligned(pair: Pair, texts: list[str | None]) -> list[tuple]:
     found = [(i, ids) for i, ids in enumerate(map(pair.ids, texts)) if ids]
     if not found:
         return out
-    ids_a, ids_b = (
-        np.frombuffer(b"".join(ids[side] for _, ids in found), "<u4") for side in range(2)
-    )
-    last_a, last_b = (
-        np.cumsum([len(ids[side]) // 4 for _, ids in found]) for side in range(2)
-    )
+    mixed = as_ids(b"".join(ids for _, ids in found))
+    ids_a, ids_b = separated(mixed)
+    ends = np.cumsum([len(ids) // 4 for _, ids in found])
+    last_a = np.cumsum(mixed < OF_B)[ends - 1]
+    last_b = ends - last_a
     ends_a, ends_b = np.cumsum(pair.length_a[ids_a]), np.cumsum(pair.length_b[ids_b])
     cuts_a, cuts_b = shared_cuts(ends_a, ends_b, last_a, last_b)
-    text, ends = written_groups(ids_a, ids_b, cuts_a, cuts_b)
+    text, written = written_groups(ids_a, ids_b, cuts_a, cuts_b)
     links = (ids_a[cuts_a - 1] << np.uint32(16)) | ids_b[cuts_b - 1]
     groups = np.searchsorted(cuts_a, last_a) + 1
     n_a, n_b = np.diff(last_a, prepend=0), np.diff(last_b, prepend=0)
     at = before = 0
     for (i, _), a, b, group in zip(found, n_a.tolist(), n_b.tolist(), groups.tolist()):
-        end = int(ends[group - 1])
+        end = int(written[group - 1])
         digest = hashlib.sha256(memoryview(text)[at : end - 1]).hexdigest()
         out[i] = a, b, digest, links[before:group]
         at, before = end, group

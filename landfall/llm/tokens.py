@@ -23,6 +23,9 @@ LONGEST_KEPT = 64
 #: Ends every document.
 END_ID = 2
 
+#: Marks that often end a word.
+END_MARKS = ".,;:!?"
+
 INVISIBLE = "\u180e\u200b\ufeff"
 BEFORE_VISIBLE = re.compile(rf" (?=[^\s{INVISIBLE}])")
 
@@ -37,15 +40,16 @@ class _Memory(dict):
     def __init__(self, encode, lead: str, generation: int):
         super().__init__()
         self.encode, self.lead, self.generation, self.old = encode, lead, generation, {}
+        self.marks = {mark: encode(mark) for mark in END_MARKS}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             if self.lead and (not word or word[0].isspace() or word[0] in INVISIBLE):
                 raise _NotAWord
-            if word[-1:] in (".", ",") and word[:-1].isalpha():
+            if word[-1:] in self.marks and word[:-1].isalpha():
                 # letters and a mark that follows them are separate pieces
-                ids = self[word[:-1]] + self.encode(word[-1])
+                ids = self[word[:-1]] + self.marks[word[-1]]
             else:
                 ids = self.encode(self.lead + word)
         if len(word) <= LONGEST_KEPT:
