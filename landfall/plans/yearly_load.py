@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -462,15 +463,20 @@ def load_summaries(
     publish(spark, lake, staged)
 
 
-def _weekday_years(spark: SparkSession, lake: Lake, *states: tuple) -> set[int | None]:
-    """The years that the date tables of (snapshot, folders) give the dates in those folders."""
-    found: set[int | None] = set()
-    for snapshot, folders in states:
-        rows = snapshots.read_folders(spark, lake.root(FACT_TABLE), folders, FACT)
-        dates = read(spark, lake, snapshot, DATE_TABLE).select("arrival_date", YEAR)
-        seen = rows.select("arrival_date").distinct().join(dates, "arrival_date", "left")
-        found |= {row[0] for row in seen.select(YEAR).distinct().collect()}
-    return found
+def _weekday_years(
+    spark: SparkSession, lake: Lake, touched: Iterable[str], states: Sequence[Snapshot]
+) -> set[int | None]:
+    """The years that the date tables of the states give the dates of the touched months of
+    record, as their views by day tell them."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in (YEAR, MONTH)]
+    in_touched = F.concat_ws(",", *parts).isin(list(touched))
+    days = [read(spark, lake, state, "view_days").where(in_touched) for state in states]
+    seen = reduce(DataFrame.union, [d.select("arrival_date") for d in days]).distinct()
+    years = []
+    for state in states:
+        dates = read(spark, lake, state, DATE_TABLE).select("arrival_date", YEAR)
+        years.append(seen.join(dates, "arrival_date", "left").select(YEAR))
+    return {row[0] for row in reduce(DataFrame.union, years).distinct().collect()}
 
 
 def load_year(
@@ -514,9 +520,7 @@ def load_year(
         stage_summaries(spark, lake, staged)
     elif removed or added:
         years = {None if y == "None" else int(y) for y, _, _ in (p.partition(",") for p in touched)}
-        of_dates = _weekday_years(
-            spark, lake, *[(s, f) for s in (before, staged) for f in (removed, added)]
-        )
+        of_dates = _weekday_years(spark, lake, touched, (before, staged))
         stage_summaries(spark, lake, staged, years, of_dates)
     publish(spark, lake, staged)
     return report
