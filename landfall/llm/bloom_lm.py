@@ -7,8 +7,11 @@ mean count of all n-grams with that q, so the filter alone holds the model:
 
     P(w | h) = a(q(h)) * count(h, w) / count(h) + (1 - a(q(h))) * (count(w) + 1) / (N + V + 1)
 
-The weights a are those under which training documents, each bigram's own occurrence left out,
-are likeliest (deleted interpolation).
+The weights a are those under which the training documents, each bigram's own occurrence left
+out, are likeliest (deleted interpolation). All of them take part: a token's probability depends
+on three quantised counts alone, those of its context, bigram and word, so a text is first turned
+into the numbers of its tokens in each such cell. The cells of all training texts, summed, fit the
+weights; those of each text, under these weights, are its score.
 
 The filter is built in segments by the tasks that sum the counts. It is broadcast; its size
 grows with the corpus up to a fixed number of bytes, beyond which n-grams share it more closely
@@ -21,9 +24,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +46,9 @@ MAX_FILTER_BYTES = 256 << 20
 #: Words whose exact counts are broadcast at most; those of rarer words are joined.
 HEAD_WORDS = 1_000_000
 
-#: Training documents that the interpolation weights are fitted on, about.
-WEIGHT_DOCUMENTS = 4_000
-
 LEVELS = 48
+#: Triples of the levels of a context, a bigram and a word.
+CELLS = LEVELS**3
 CACHE_WORDS = 150_000
 WEIGHTS = np.array([0.001, 0.003, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])
 
@@ -290,7 +292,7 @@ class Model:
 
 
 class Scorer:
-    """Probabilities of texts under a model, with what it found about words kept in arrays."""
+    """What a model holds of texts, with what it found about words kept in arrays."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -318,64 +320,76 @@ class Scorer:
             self.hashes = np.concatenate([self.hashes, new])
         return out
 
-    def pairs(self, numbers: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        """Of all tokens of the texts in a row: levels of bigram and context, and the counts and
-        unigram probability that follow from the filter."""
+    def cells(self, numbers: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The cells of each text's tokens, in order, and how often each occurs in it."""
         end = np.zeros(1, dtype="i8")
         word = np.concatenate([x for n in numbers for x in (n, end)])
         before = np.concatenate([x for n in numbers for x in (end, n)])
-        model = self.model
-        pair = model.filter.levels(bigrams(self.hashes[before], self.hashes[word]))
-        context = self.levels[before]
+        pair = self.model.filter.levels(bigrams(self.hashes[before], self.hashes[word]))
+        context, single = self.levels[before], self.levels[word]
         # a bigram is no more frequent than its words
-        pair = np.minimum(pair, np.minimum(context, self.levels[word]))
-        single = (model.means[0][self.levels[word]] + 1) / model.denominator
-        return pair, context, single
-
-    def log10(self, numbers: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
-        """The log10 probability of each text; ``weights`` of the bigram by context level."""
-        pair, context, single = self.pairs(numbers)
-        model = self.model
-        share = model.means[1][pair] / np.maximum(model.means[0][context], 1)
-        a = weights[context]
-        p = a * np.minimum(share, 1) + (1 - a) * single
-        ends = np.cumsum([len(n) + 1 for n in numbers])
-        return np.add.reduceat(np.log10(p), np.concatenate([[0], ends[:-1]]))
+        pair = np.minimum(pair, np.minimum(context, single))
+        cell = (context * LEVELS + pair) * LEVELS + single
+        text = np.repeat(np.arange(len(numbers)), [len(n) + 1 for n in numbers])
+        found, times = np.unique(text * CELLS + cell, return_counts=True)
+        edges = np.searchsorted(found, np.arange(1, len(numbers)) * CELLS)
+        return list(zip(np.split(found % CELLS, edges), np.split(times, edges)))
 
 
-def fitted_weights(training: DataFrame, shared: Broadcast) -> np.ndarray:
-    """For each level of the context the best weight of the bigram, by leave-one-out over about
-    ``WEIGHT_DOCUMENTS`` training documents, drawn by a hash of the id."""
-    share = int(min(1.0, WEIGHT_DOCUMENTS / max(training.count(), 1)) * (1 << 30))
-    sample = training.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < share)
+@dataclass
+class Rates:
+    """What the model knows of a cell, and all that a token's probability depends on: the
+    quantised counts of the context, of the bigram and of the word."""
 
-    def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+    means: np.ndarray
+    denominator: float
+
+    def shares(self, cells: np.ndarray, without: int = 0) -> tuple[np.ndarray, ...]:
+        """Per cell the context's level, and the word's probability after the context, of whose
+        counts ``without`` occurrences are left out, and by itself."""
+        context, pair, word = cells // LEVELS**2, cells // LEVELS % LEVELS, cells % LEVELS
+        others = np.maximum(self.means[1][pair] - without, 0)
+        share = np.minimum(others / np.maximum(self.means[0][context] - without, 1), 1)
+        return context, share, (self.means[0][word] + 1) / self.denominator
+
+    def fitted(self, cells: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """For each level of the context the best weight of the bigram, by leave-one-out over
+        tokens of which ``times`` lie in each of ``cells``."""
+        context, share, single = self.shares(cells, without=1)
         total = np.zeros((LEVELS, len(WEIGHTS)))
-        means = shared.value.means
+        for i, a in enumerate(WEIGHTS):
+            total[:, i] = np.bincount(
+                context, times * np.log(a * share + (1 - a) * single), LEVELS
+            )
+        best = WEIGHTS[total.argmax(axis=1)]
+        best[~total.any(axis=1)] = 0  # levels that no training text shows
+        best[0] = 0  # words that the filter does not hold say nothing about the next
+        return best
+
+    def log10(self, weights: np.ndarray) -> np.ndarray:
+        """The log10 probability of a token of each cell; ``weights`` by context level."""
+        context, share, single = self.shares(np.arange(CELLS))
+        a = weights[context]
+        return np.log10(a * share + (1 - a) * single)
+
+
+def count_cells(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of all tokens of ``rows`` (cells, cell_times), in order, and how many tokens lie
+    in each: at most ``CELLS`` numbers, whatever the rows."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, dtype="i8")
         for batch in batches:
-            for part in slices(batch, 64):
-                texts = [words(t) for t in part.column("text").to_pylist()]
-                pair, context, single = scorer.pairs(scorer.numbers(texts))
-                others = np.maximum(means[1][pair] - 1, 0)
-                share = np.minimum(others / np.maximum(means[0][context] - 1, 1), 1)
-                for i, a in enumerate(WEIGHTS):
-                    total[:, i] += np.bincount(
-                        context, np.log(a * share + (1 - a) * single), LEVELS
-                    )
+            for cells, times in zip(*(c.to_pylist() for c in batch.columns)):
+                total[np.frombuffer(cells, "<u4")] += np.frombuffer(times, "<u4")
+        seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["i", "x"]
+            [pa.array(seen), pa.array(total[seen])], names=["cell", "n"]
         )
 
-    rows = sample.select("text").mapInArrow(likelihoods, "i long, x double").groupBy("i")
-    total = np.zeros(LEVELS * len(WEIGHTS))
-    for i, x in rows.agg(F.sum("x")).collect():
-        total[i] = x
-    total = total.reshape(LEVELS, len(WEIGHTS))
-    best = WEIGHTS[total.argmax(axis=1)]
-    best[~total.any(axis=1)] = 0  # levels that the sample does not show
-    best[0] = 0  # words that the filter does not hold say nothing about the next
-    return best
+    counted = rows.select("cells", "cell_times").mapInArrow(summed, "cell long, n long")
+    found = counted.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect()
+    return np.array([r[0] for r in found], "i8"), np.array([r[1] for r in found], "i8")
 
 
 def train(training: DataFrame) -> tuple[Model, DataFrame]:
@@ -452,7 +466,7 @@ def _tail(table: DataFrame, least: int) -> DataFrame:
 
 SCORE_SCHEMA = (
     "uid long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, "
-    "score double, tail array<long>, times array<long>"
+    "cells binary, cell_times binary, tail array<long>, times array<long>"
 )
 
 
@@ -460,7 +474,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.
 
-    The model learns from the rows where ``held_out`` is false. Null texts are empty; an empty
+    The model, its weights included, learns from the rows where ``held_out`` is false. Null texts are empty; an empty
     text is the end token alone. Without training text every token has the probability 1 under
     the base, which then knows no word, and the model gives the same. Repeated rows count as
     often as they occur. Exact counts of frequent words come by broadcast, those of all others
@@ -476,9 +490,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     training = rows.where(~F.col("held_out"))
     model, tail_counts = train(training)
     tokens, denominator = model.tokens, float(model.denominator)
+    rates = Rates(model.means, denominator)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     del model
-    weights = fitted_weights(training, shared)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, model = Scorer(shared.value), shared.value
@@ -496,6 +510,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                     rare, often = np.unique(np.append(n, end)[~in_head], return_counts=True)
                     tail.append(scorer.hashes[rare].view("i8"))
                     times.append(often)
+                cells = scorer.cells(numbers)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("uid"),
@@ -504,18 +519,31 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                         pa.array([len(n) + 1 for n in numbers], pa.int64()),
                         pa.array(known, pa.int64()),
                         pa.array(base, pa.float64()),
-                        pa.array(scorer.log10(numbers, weights)),
+                        pa.array([c.astype("<u4").tobytes() for c, _ in cells], pa.binary()),
+                        pa.array([n.astype("<u4").tobytes() for _, n in cells], pa.binary()),
                         pa.array(tail, pa.list_(pa.int64())),
                         pa.array(times, pa.list_(pa.int64())),
                     ],
                     names=[
                         "uid", "doc_id", "held_out", "n_tokens", "head_known", "head_base",
-                        "score", "tail", "times",
+                        "cells", "cell_times", "tail", "times",
                     ],
                 )
 
-    table = stored(rows.mapInArrow(scored, SCORE_SCHEMA), "lm-scores")
+    table = stored(rows.mapInArrow(scored, SCORE_SCHEMA), "lm-cells")
     shared.unpersist()
+    logs = rates.log10(rates.fitted(*count_cells(table.where(~F.col("held_out")))))
+
+    @F.pandas_udf("double")
+    def log10(cells: pd.Series, times: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                float(logs[np.frombuffer(c, "<u4")] @ np.frombuffer(n, "<u4"))
+                for c, n in zip(cells, times)
+            ],
+            dtype="f8",
+        )
+
     rare = (
         table.select("uid", F.explode(F.arrays_zip("tail", "times")).alias("t"))
         .select("uid", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
@@ -527,7 +555,11 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
             F.sum(F.col("times") * F.log10((F.col("n") + 1) / denominator)).alias("tail_base"),
         )
     )
-    return table.join(rare, "uid", "left").select(
+    kept = table.select(
+        "uid", "doc_id", "held_out", "n_tokens", "head_known", "head_base",
+        log10("cells", "cell_times").alias("score"),
+    )
+    return kept.join(rare, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -153,6 +153,31 @@ def test_language_model_of_awkward_rows(spark):
     assert bloom_lm.score(fx.documents(spark, []), F.lit(False)).count() == 0
 
 
+def test_language_model_weights_come_from_all_training_texts(spark):
+    """Two words of their own frequency stand in one of 40,000 training texts; what the model
+    learned of them must not hang on whether that text was drawn."""
+    rows = [(i, f"w{i}") for i in range(40_000)]
+    rows += [(40_000, "x y " * 1000), (-1, "x y " * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    scored = bloom_lm.score(docs, F.col("doc_id") < 0)
+    (row,) = scored.where("held_out").collect()
+    assert row["train_tokens"] == 40_000 * 2 + 2001
+    assert row["n_known"] == row["n_tokens"] == 101
+    assert row["score"] / row["n_tokens"] > -0.2
+
+
+def test_cells_of_all_training_tokens_are_counted(spark, monkeypatch):
+    seen, fitted = [], bloom_lm.Rates.fitted
+
+    def watched(rates, cells, times):
+        seen.append(int(times.sum()))
+        return fitted(rates, cells, times)
+
+    monkeypatch.setattr(bloom_lm.Rates, "fitted", watched)
+    row = queries.op4_lm_scoring(spark, MEDIUM).first()
+    assert seen == [row["train_tokens"]]
+
+
 def test_filter_never_forgets_and_seldom_invents():
     rng = np.random.default_rng(0)
     hashes = rng.integers(0, 2**63, 60_000).astype("u8")
