@@ -336,9 +336,11 @@ def _loaded(spark: SparkSession, folder: str) -> tuple[Inputs, Lake]:
 def _corrected(spark: SparkSession, folder: str) -> tuple[Inputs, Lake]:
     """The loaded lake, and February's file landed anew without records of unknown age."""
     source, lake = _loaded(spark, folder)
-    arrivals = sample.raw_arrivals(spark, folder)
     february = io.month_paths(source.arrivals, 2016, name=LANDED_FILE)[1]
-    io.overwrite(arrivals.where("i94mon = 2 AND i94bir IS NOT NULL"), february)
+    corrected = io.scratch_folder(spark, "corrected")
+    # by a folder beside it, as a table that is read cannot be overwritten
+    io.overwrite(io.read_table(spark, february, RAW_ARRIVALS).where("i94bir IS NOT NULL"), corrected)
+    io.overwrite(io.read_table(spark, corrected, RAW_ARRIVALS), february)
     return source, lake
 
 

@@ -196,24 +196,46 @@ def _number_rows(table: str, counts: dict[str, int]) -> list[tuple]:
 def stage_dimensions(
     spark: SparkSession, inputs: Inputs, lake: Lake, staged: Snapshot
 ) -> list[tuple]:
-    """The three dimensions that come from lookup files; the report of their numbers."""
-    cities = read_csv_text(spark, inputs.demographics, RAW_DEMOGRAPHICS, sep=";")
-    countries = read_csv_text(spark, inputs.countries, RAW_COUNTRIES)
-    of_cities = NumberCounts("demographics", bad_numbers(cities, RAW_DEMOGRAPHICS))
-    code = bad_number("Country_code", text_to_int("Country_code"))
-    of_countries = NumberCounts("countries", {"Country_code": code})
-    _staged(lake, staged, "US_Visas", dim_visas(read_csv(spark, inputs.visas, RAW_VISAS)))
-    _staged(lake, staged, "country_codes", dim_countries(of_countries.watch(countries)))
-    _staged(
-        lake,
-        staged,
-        "cities_demographics",
-        dim_cities(typed(of_cities.watch(cities), RAW_DEMOGRAPHICS)),
-    )
+    """The three dimensions that come from lookup files; the report of their numbers.
+
+    The snapshot's notes keep the state of each file and how much of its text is no number; a
+    dimension whose file did not change since the published load stays as it is.
+    """
+    paths = {
+        "US_Visas": inputs.visas,
+        "country_codes": inputs.countries,
+        "cities_demographics": inputs.demographics,
+    }
+    states = {name: [path, snapshots.file_states(spark, path)] for name, path in paths.items()}
+    known = staged.notes.get("dimensions", {})
+    kept = {
+        name: known[name]
+        for name, state in states.items()
+        # a path of which no file is seen, as a pattern, tells nothing of changes
+        if state[1] and known.get(name, {}).get("state") == state and staged.parts(name)
+    }
+    bad = {name: note["bad"] for name, note in kept.items()}
+    if "US_Visas" not in kept:
+        _staged(lake, staged, "US_Visas", dim_visas(read_csv(spark, inputs.visas, RAW_VISAS)))
+        bad["US_Visas"] = {}
+    if "country_codes" not in kept:
+        countries = read_csv_text(spark, inputs.countries, RAW_COUNTRIES)
+        code = bad_number("Country_code", text_to_int("Country_code"))
+        of_countries = NumberCounts("countries", {"Country_code": code})
+        _staged(lake, staged, "country_codes", dim_countries(of_countries.watch(countries)))
+        bad["country_codes"] = of_countries.counts()
+    if "cities_demographics" not in kept:
+        cities = read_csv_text(spark, inputs.demographics, RAW_DEMOGRAPHICS, sep=";")
+        of_cities = NumberCounts("demographics", bad_numbers(cities, RAW_DEMOGRAPHICS))
+        rows = dim_cities(typed(of_cities.watch(cities), RAW_DEMOGRAPHICS))
+        _staged(lake, staged, "cities_demographics", rows)
+        bad["cities_demographics"] = of_cities.counts()
+    staged.notes["dimensions"] = {
+        name: {"state": state, "bad": bad[name]} for name, state in states.items()
+    }
     return [
-        line
-        for counts in (of_cities, of_countries)
-        for line in _number_rows(counts.table, counts.counts())
+        *_number_rows("demographics", bad["cities_demographics"]),
+        *_number_rows("countries", bad["country_codes"]),
     ]
 
 

@@ -13,6 +13,7 @@ from landfall.plans.fact import clean_arrivals
 from landfall.plans.yearly_load import (
     Inputs,
     Lake,
+    current,
     load_summaries,
     load_year,
     read_lake,
@@ -32,6 +33,8 @@ from landfall.sources import (
 )
 from landfall.sources.files import MONTH_FILE, MONTHS
 
+ANY = [TableRule(rule.table) for rule in DEFAULT_RULES]
+
 
 def write(path, text):
     os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -341,3 +344,42 @@ def test_scratch_folder_is_fresh_and_follows_the_setting(spark):
     assert one != two
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or one.startswith(shared)
+
+
+def test_a_reload_keeps_the_dimensions_of_unchanged_files(spark, folder):
+    lake = Lake(folder + "/lake", folder + "/summaries")
+    source = inputs(folder)
+    land(spark, folder, 2016, FIRST)
+    report = load_year(spark, 2016, source, lake)
+    names = ("US_Visas", "country_codes", "cities_demographics")
+    first = {name: current(spark, lake).parts(name) for name in names}
+    land(spark, folder, 2016, {2: [arrival(day=20486.0, month=2.0)]})
+    assert load_year(spark, 2016, source, lake) == report
+    assert {name: current(spark, lake).parts(name) for name in names} == first
+    write(folder + "/countries.csv", "Country_code,Country\n1,ALBANIA\nnone,NOWHERE\n")
+    again = load_year(spark, 2016, source, lake, ANY, check_numbers=False)
+    assert len(again) == len(ANY)
+    after = {name: current(spark, lake).parts(name) for name in names}
+    assert [name for name in names if after[name] != first[name]] == ["country_codes"]
+    assert snapshot(spark, lake)["country_codes"] == [(1, "ALBANIA"), (None, "NOWHERE")]
+    # text that is no number is remembered with the file that is not read again
+    with pytest.raises(DataQualityError) as error:
+        load_year(spark, 2016, source, lake, ANY)
+    assert [(r.table_name, r.bad_rows) for r in error.value.failures] == [("countries", 1)]
+
+
+def test_a_corrected_month_comes_from_the_landed_files(spark, monkeypatch):
+    made = []
+    raw_arrivals = contract.sample.raw_arrivals
+    monkeypatch.setattr(
+        contract.sample, "raw_arrivals", lambda *a: made.append(a) or raw_arrivals(*a)
+    )
+    source, _ = contract._corrected(spark, "/root/testdata/sf0.001")
+    assert len(made) == 1
+    february = contract.io.month_paths(source.arrivals, 2016, name=contract.LANDED_FILE)[1]
+    expected = raw_arrivals(spark, "/root/testdata/sf0.001").where(
+        "i94mon = 2 AND i94bir IS NOT NULL"
+    )
+    found = spark.read.parquet(february)
+    assert found.count() == expected.count() > 0
+    assert found.exceptAll(expected).count() == 0
