@@ -1,11 +1,14 @@
 """Dimension tables.
 
-Whole-row duplicates need no step of their own here: keeping the first row per key removes
-them too, with one shuffle instead of two.
+Lookup files may say the same row by row many times: equal rows of the columns that are used are
+counted first, a hash aggregate in each task, so that texts are cleaned and sorted once per
+different row and not once per row of the file.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ from landfall.functions import (
     weekday_name,
 )
 from landfall.operators.dedupe import first_per_key
-from landfall.operators.shape import rename_columns
+from landfall.operators.shape import quoted, rename_columns
 
 # Column names of the demographics file and of the city dimension.
 CITY_COLUMNS = {
@@ -39,19 +42,36 @@ CITY_COLUMNS = {
 }
 
 
+#: How often a row stands in a lookup file.
+TIMES = "_times"
+
+
+def _seen(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The different rows of ``columns``, with their number of rows.
+
+    The number goes on into the choice of the row per key, behind all other columns, where it
+    decides nothing; without it the optimizer would drop this step for the choice.
+    """
+    return raw.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias(TIMES))
+
+
 def dim_visas(raw: DataFrame) -> DataFrame:
     """Visa types and their purposes, unique on the cleaned type."""
-    cleaned = raw.select(
-        clean_code("Visa Type").alias("Visa_Type"), ascii_only("Purpose").alias("Visa_Purpose")
+    cleaned = _seen(raw, ["Visa Type", "Purpose"]).select(
+        clean_code("Visa Type").alias("Visa_Type"),
+        ascii_only("Purpose").alias("Visa_Purpose"),
+        TIMES,
     )
-    return first_per_key(cleaned, ["Visa_Type"])
+    return first_per_key(cleaned, ["Visa_Type"]).drop(TIMES)
 
 
 def dim_countries(raw: DataFrame) -> DataFrame:
     """Countries, unique on the code. A code that is no number becomes null."""
     is_text = dict(raw.dtypes)["Country_code"] == "string"
     code = (text_to_int if is_text else to_int)("Country_code")
-    return first_per_key(raw.select(code.alias("Country_code"), "Country"), ["Country_code"])
+    seen = _seen(raw, ["Country_code", "Country"])
+    rows = seen.select(code.alias("Country_code"), "Country", TIMES)
+    return first_per_key(rows, ["Country_code"]).drop(TIMES)
 
 
 def dim_cities(raw: DataFrame) -> DataFrame:
@@ -62,12 +82,13 @@ def dim_cities(raw: DataFrame) -> DataFrame:
 
 def dim_ports(raw: DataFrame, collapse_all: bool = False) -> DataFrame:
     """Ports of entry with city and state, unique on the cleaned code."""
-    cleaned = raw.select(
+    cleaned = _seen(raw, ["Code", "City", "State"]).select(
         clean_code("Code").alias("Code"),
         collapse_spaces(clean_city_text("City"), collapse_all).alias("City"),
         collapse_spaces(clean_state_text("State"), collapse_all).alias("State"),
+        TIMES,
     )
-    return first_per_key(cleaned, ["Code"])
+    return first_per_key(cleaned, ["Code"]).drop(TIMES)
 
 
 def dim_dates(arrivals: DataFrame) -> DataFrame:

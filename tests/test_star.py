@@ -266,6 +266,20 @@ def test_dim_countries_bad_code_is_null(spark):
     assert set(rows(dims.dim_countries(raw))) == {(582, "MEXICO"), (None, "NOWHERE")}
 
 
+def test_lookup_rows_are_counted_before_they_are_cleaned(spark):
+    raw = spark.createDataFrame(
+        [("JFK", "New (York)", "NY")] * 3 + [("LGA", "Queens", "NY")],
+        "Code string, City string, State string",
+    )
+    visas = raw.selectExpr("Code AS `Visa Type`", "City AS Purpose")
+    countries = raw.selectExpr("Code AS Country_code", "City AS Country")
+    for dim in (dims.dim_ports(raw), dims.dim_visas(visas), dims.dim_countries(countries)):
+        plan = dim._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate [") == 2
+        assert dims.TIMES not in dim.columns
+    assert dims.dim_ports(raw).count() == dims.dim_visas(visas).count() == 2
+
+
 def test_enrich_refuses_repeated_keys_when_asked(spark):
     twice = ports(spark, ("JFK", "A", "A"), ("JFK", "B", "B"))
     left = spark.createDataFrame([("JFK",)], "port_of_entry string")
