@@ -2,16 +2,20 @@
 
 The tokenizer splits a text at white space before anything else, so a blank that stands before a
 visible character always begins a new piece, and the ids of a text are those of its blank-led
-words in a row. Words repeat; each worker asks the tokenizer for a word once and keeps its ids.
+words in a row. A line break between two visible characters is a piece by itself. Words repeat;
+each worker asks the tokenizer for a word once and keeps its ids.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words that a worker remembers: two generations of this size, unless told otherwise; the older
 #: is dropped as a whole. A million words take about 200 MB.
@@ -23,8 +27,12 @@ LONGEST_KEPT = 64
 #: Ends every document.
 END_ID = 2
 
-#: Marks that often end a word.
+#: Marks that often end a word, one by one with any tokenizer, or several as one piece.
 END_MARKS = ".,;:!?"
+END_RUNS = END_MARKS + "\"#$%&()*+-/<=>@[\\]^_`{|}~"
+
+#: Different runs of marks that a worker remembers.
+RUNS_KEPT = 10_000
 
 INVISIBLE = "\u180e\u200b\ufeff"
 BEFORE_VISIBLE = re.compile(rf" (?=[^\s{INVISIBLE}])")
@@ -34,24 +42,32 @@ class _NotAWord(Exception):
     pass
 
 
+class _Runs(dict):
+    """Ids of marks that end a word, as bytes."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, marks: str) -> bytes:
+        if len(self) >= RUNS_KEPT:
+            self.clear()
+        ids = self[marks] = self.encode(marks)
+        return ids
+
+
 class _Memory(dict):
     """Ids, as bytes of unsigned 32-bit numbers, of ``lead`` and a word."""
 
-    def __init__(self, encode, lead: str, generation: int):
+    def __init__(self, encode, lead: str, generation: int, runs: bool):
         super().__init__()
         self.encode, self.lead, self.generation, self.old = encode, lead, generation, {}
-        self.marks = {mark: encode(mark) for mark in END_MARKS}
+        self.runs, self.marks = runs, _Runs(encode)
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            if self.lead and (not word or word[0].isspace() or word[0] in INVISIBLE):
-                raise _NotAWord
-            if word[-1:] in self.marks and word[:-1].isalpha():
-                # letters and a mark that follows them are separate pieces
-                ids = self[word[:-1]] + self.marks[word[-1]]
-            else:
-                ids = self.encode(self.lead + word)
+            ids = self.encode(self.lead + word) if word.isalpha() else self._mixed(word)
         if len(word) <= LONGEST_KEPT:
             if len(self) >= self.generation:
                 self.old = dict(self)
@@ -59,6 +75,16 @@ class _Memory(dict):
             self[word] = ids
         return ids
 
+    def _mixed(self, word: str) -> bytes:
+        if self.lead and (not word or word[0].isspace() or word[0] in INVISIBLE):
+            raise _NotAWord
+        # letters and the marks that follow them are separate pieces
+        stem = word.rstrip(END_RUNS) if self.runs else word[:-1]
+        marks = word[len(stem) :]
+        if marks and stem.isalpha() and (self.runs or marks in END_MARKS):
+            return self[stem] + self.marks[marks]
+        return self.encode(self.lead + word)
+
 
 def _byte_letters() -> dict[int, str]:
     """The letters by which byte-level vocabularies write bytes: visible Latin-1 characters stand
@@ -69,6 +95,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+BYTE_TABLE = "".join(BYTE_LETTERS.get(b, chr(b)) for b in range(256))
 
 
 class Encoder:
@@ -83,15 +110,17 @@ class Encoder:
         # for pieces, if nothing else happens to the text before
         splitter = type(self.tokenizer.pre_tokenizer).__name__
         self.direct = self.tokenizer.normalizer is None and splitter == "ByteLevel"
-        self.first = _Memory(self._ids, "", generation)
-        self.later = _Memory(self._ids, " ", generation)
+        self.first = _Memory(self._ids, "", generation, self.direct)
+        self.later = _Memory(self._ids, " ", generation, self.direct)
+        self.generation, self.led = generation, {}
+        self.marks, self.line_break = _Runs(self._ids), self._ids("\n")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] == BYTE_LETTERS[32]]] = True
 
     def _ids(self, text: str) -> bytes:
         if self.direct and text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
-            if text.isascii():
-                letters = text.replace(" ", BYTE_LETTERS[32])
-            else:
-                letters = text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            letters = codecs.charmap_decode(text.encode(), "strict", BYTE_TABLE)[0]
             ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -111,6 +140,86 @@ class Encoder:
             head = self.first[pieces[0]] if pieces[0] else b""
         return head + body + END_BYTES
 
+    def documents(self, texts: pa.Array) -> list[np.ndarray]:
+        """What ``document`` gives for each text. Arrow finds the different words of all texts, so
+        that each is looked up once."""
+        texts = texts.fill_null("")
+        if not self.direct:
+            return [as_ids(self.document(t)) for t in texts.to_pylist()]
+        # a line break leads the word behind it, and one leads each text
+        led = pc.replace_substring(texts, "\n", " \n")
+        led = pc.binary_join_element_wise("\n", led, "")
+        split = pc.split_pattern(led, " ")
+        places = np.asarray(split.offsets) - split.offsets[0].as_py()
+        words = split.flatten().dictionary_encode()
+        del led, split
+        unique = words.dictionary.to_pylist()
+        stems = [w.rstrip(END_RUNS) for w in unique]
+        known = self._remember({s for s in stems if len(s) <= LONGEST_KEPT and s.isalpha()})
+        ids, odd = [], []
+        for number, (word, stem) in enumerate(zip(unique, stems)):
+            found = known.get(stem)
+            if found is None:
+                try:
+                    found = self._led(word)
+                except _NotAWord:
+                    found = b""
+                    odd.append(number)
+            elif len(stem) < len(word):
+                found += self.marks[word[len(stem) :]]
+            ids.append(found)
+        del unique, stems
+        joined = pa.array(ids, pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(joined.buffers()[1], "<i8", len(joined) + 1)
+        stream = np.frombuffer(joined.buffers()[2] or b"", "<u4")
+        bounds = (ends[places] >> 2).tolist()
+        # the line break that leads a text gives its place to the end of the text before
+        stream = np.append(stream, np.uint32(END_ID))
+        del joined, ends
+        stream[bounds[:-1]] = END_ID
+        out = [stream[a + 1 : b + 1] for a, b in zip(bounds, bounds[1:])]
+        if odd:
+            is_odd = np.zeros(len(ids), dtype="i8")
+            is_odd[odd] = 1
+            counts = np.add.reduceat(is_odd.take(np.asarray(words.indices)), places[:-1])
+            for number in np.flatnonzero(counts).tolist():
+                out[number] = as_ids(self.document(texts[number].as_py()))
+        del words
+        pa.default_memory_pool().release_unused()
+        return out
+
+    def _remember(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of blank-led words of letters, these and others met before."""
+        fresh = [w for w in words if w not in self.led]
+        if len(self.led) + len(fresh) > 2 * self.generation:
+            self.led = {w: self.led[w] for w in words if w in self.led}
+        if fresh:
+            blank = BYTE_LETTERS[32]
+            letters = codecs.charmap_decode(" ".join(["", *fresh]).encode(), "strict", BYTE_TABLE)[0]
+            tokenize = self.tokenizer.model.tokenize
+            pieces = letters.replace(blank, "\n" + blank).split("\n")[1:]
+            ids = np.fromiter((t.id for piece in pieces for t in tokenize(piece)), "<u4")
+            # of the tokens of a word, the first one alone begins with the blank
+            ends = [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(ids)]
+            data = ids.tobytes()
+            self.led.update(zip(fresh, [data[a:b] for a, b in zip(ends, ends[1:])], strict=True))
+        return self.led
+
+    def _led(self, word: str) -> bytes:
+        """The ids of a word led by a blank, or by the line break with which it begins, if what
+        stands behind it goes on with a line break, or ends the text."""
+        if not _visible(word[-1:]):
+            raise _NotAWord
+        if word[0] != "\n":
+            return self.later[word]
+        if not _visible(word[1:2]):
+            raise _NotAWord
+        return self.line_break + self.first[word[1:]]
+
+
+def _visible(mark: str) -> bool:
+    return bool(mark) and not mark.isspace() and mark not in INVISIBLE
+
 
 END_BYTES = array("I", [END_ID]).tobytes()
 _encoders: dict[tuple[str, int], Encoder] = {}

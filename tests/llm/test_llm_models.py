@@ -1,10 +1,13 @@
 """Classifiers, language model, packing, id files and sharding: brute force and held-out rows."""
 
+import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +36,21 @@ def test_cached_words_give_the_ids_of_the_whole_text():
         assert tokens.as_ids(encoder.document(text)).tolist() == direct_ids(text), repr(text)
 
 
+def test_words_of_many_texts_are_looked_up_together():
+    encoder = tokens.Encoder(tokens.tokenizer_path(), 50)
+    rng = np.random.default_rng(1)
+    parts = [" ", " ", "\n", "\n", "a", "Ab", "'s", "é", ".", ",!!", "&&&", "1", "\x1c", "\t", "x.'",
+             "<|endoftext|>", "\u180e", "\u200b", "😀", "don't", "x.", "\r\n", "(b)", "c_d", "\u3000"]
+    texts = [None, "", "\n", " ", "a\n", "\nThe end.", "no", "End.\nThe (end).\nof", "a <|endoftext|>\nb"]
+    texts += ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(5000)]
+    texts += [" ".join(rng.choice(["the", "of!!", "Elle,", "été", "x\nY", "z.\nThe"], 30)) for _ in range(200)]
+    for some in (texts, texts[7:9], texts[:1], []):
+        got = encoder.documents(pa.array(some, pa.string()))
+        assert [g.tolist() for g in got] == [direct_ids(t) for t in some]
+    sliced = encoder.documents(pa.array(texts, pa.string()).slice(5, 40))
+    assert [g.tolist() for g in sliced] == [direct_ids(t) for t in texts[5:45]]
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "lang")
     got = queries.op1_language_id(spark, MEDIUM).join(docs, "doc_id").where("held_out").collect()
@@ -348,6 +366,59 @@ def test_blocks_are_independent_and_checked(monkeypatch):
         id_files.read_frames([b"XXXX" + whole[0][4:]])
 
 
+def test_id_coder_takes_few_steps_per_id():
+    """A step takes as many calls of numpy whatever the alphabet, and refreshes no tables."""
+    rng = np.random.default_rng(3)
+    frame = id_files.Frame()
+    frame.add(0, (rng.zipf(1.2, 400_000) % 30_000).astype("<u4"))
+    took = []
+    for _ in range(3):
+        begin = time.process_time()
+        data = id_files.write_frames([frame])
+        back = id_files.read_frames(data)
+        took.append(time.process_time() - begin)
+    assert np.array_equal(back[0][0][1], frame.parts[0])
+    # a plain loop of this interpreter as the measure; the coder before took five times as long
+    begin = time.process_time()
+    sum(i & 7 for i in range(2_000_000))
+    assert min(took) < 8 * (time.process_time() - begin)
+
+
+def test_id_coder_carries_and_wide_alphabets():
+    rng = np.random.default_rng(4)
+    frames = []
+    for ids in (
+        np.arange(70_000), np.zeros(9_000), rng.integers(0, 3, 50_000), [4_294_967_295, 0, 7],
+        np.repeat(rng.integers(0, 1 << 31, 900), 40),
+    ):
+        frames.append(id_files.Frame())
+        frames[-1].add(None, np.array(ids, dtype="<u4"))
+    for frame, documents in zip(frames, id_files.read_frames(id_files.write_frames(frames))):
+        assert np.array_equal(documents[0][1], frame.parts[0])
+    words = np.array([5, 0xFFFFFFFF, 0xFFFFFFFF, 1], dtype="u4")
+    id_files._carry(words, np.array([2]))
+    assert words.tolist() == [6, 0, 0, 1]
+
+
+def test_every_damaged_byte_of_a_block_is_found():
+    frame = id_files.Frame()
+    frame.add(1, (np.random.default_rng(6).zipf(1.3, 90) % 50).astype("<u4"))
+    (data,) = id_files.write_frames([frame])
+    (size,) = struct.unpack_from("<I", data, id_files.HEADER.size)
+    for at in range(id_files.HEADER.size + 4 + size + 8, len(data)):
+        damaged = bytearray(data)
+        damaged[at] ^= 0x10
+        with pytest.raises(id_files.ChecksumError):
+            id_files.read_frames([bytes(damaged)])
+
+
+def test_id_file_query_exchanges_no_ids(spark):
+    """Only texts are exchanged, by ascending id; ids stay where their frames were read."""
+    plan = queries.op5_id_files(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning" not in plan and "Window" not in plan
+
+
 def test_sharding_of_awkward_rows(spark):
     docs = fx.documents(spark)
     got = sharding.shuffle_to_shards(docs.repartition(3), 4, seed=1)
