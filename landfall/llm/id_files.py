@@ -50,7 +50,7 @@ TURNED = 64
 PART_BYTES = 32 << 20
 
 #: Text bytes whose words are looked up together.
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 24 << 20
 
 #: Words that the tokenizing worker remembers, twice, beside the coder's tables.
 REMEMBERED = 150_000

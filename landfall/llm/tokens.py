@@ -12,6 +12,7 @@ import codecs
 import os
 import re
 from array import array
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +113,6 @@ class Encoder:
         self.direct = self.tokenizer.normalizer is None and splitter == "ByteLevel"
         self.first = _Memory(self._ids, "", generation, self.direct)
         self.later = _Memory(self._ids, " ", generation, self.direct)
-        self.generation, self.led = generation, {}
         self.marks, self.line_break = _Runs(self._ids), self._ids("\n")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -142,7 +142,7 @@ class Encoder:
 
     def documents(self, texts: pa.Array) -> list[np.ndarray]:
         """What ``document`` gives for each text. Arrow finds the different words of all texts, so
-        that each is looked up once."""
+        that each is looked up once, and those of letters without a memory."""
         texts = texts.fill_null("")
         if not self.direct:
             return [as_ids(self.document(t)) for t in texts.to_pylist()]
@@ -153,23 +153,34 @@ class Encoder:
         places = np.asarray(split.offsets) - split.offsets[0].as_py()
         words = split.flatten().dictionary_encode()
         del led, split
-        unique = words.dictionary.to_pylist()
-        stems = [w.rstrip(END_RUNS) for w in unique]
-        known = self._remember({s for s in stems if len(s) <= LONGEST_KEPT and s.isalpha()})
-        ids, odd = [], []
-        for number, (word, stem) in enumerate(zip(unique, stems)):
-            found = known.get(stem)
-            if found is None:
-                try:
-                    found = self._led(word)
-                except _NotAWord:
-                    found = b""
-                    odd.append(number)
-            elif len(stem) < len(word):
-                found += self.marks[word[len(stem) :]]
-            ids.append(found)
-        del unique, stems
-        joined = pa.array(ids, pa.large_binary()).take(words.indices)
+        # letters and the marks that follow them are separate pieces
+        trimmed = pc.ascii_rtrim(words.dictionary, END_RUNS)
+        stems = trimmed.dictionary_encode()
+        names = stems.dictionary.to_pylist()
+        plain = np.fromiter(map(str.isalpha, names), bool, len(names))
+        stem_ids = _binary(*self._letters(list(compress(names, plain))), plain)
+        marks = np.asarray(pc.subtract(pc.binary_length(words.dictionary), pc.binary_length(trimmed)))
+        simple = plain.take(np.asarray(stems.indices))
+        rest, odd = [], []
+        more = np.flatnonzero((marks > 0) | ~simple)
+        for number, word, length, is_simple in zip(
+            more.tolist(),
+            words.dictionary.take(pa.array(more)).to_pylist(),
+            marks[more].tolist(),
+            simple[more].tolist(),
+        ):
+            try:
+                rest.append(self.marks[word[-length:]] if is_simple else self._led(word))
+            except _NotAWord:
+                rest.append(b"")
+                odd.append(number)
+        has_more = np.zeros(len(marks), dtype=bool)
+        has_more[more] = True
+        rest_ids = _binary(b"".join(rest), np.fromiter(map(len, rest), "i8", len(rest)), has_more)
+        del names, rest
+        nothing = pa.scalar(b"", pa.large_binary())
+        ids = pc.binary_join_element_wise(stem_ids.take(stems.indices), rest_ids, nothing)
+        joined = ids.take(words.indices)
         ends = np.frombuffer(joined.buffers()[1], "<i8", len(joined) + 1)
         stream = np.frombuffer(joined.buffers()[2] or b"", "<u4")
         bounds = (ends[places] >> 2).tolist()
@@ -188,22 +199,16 @@ class Encoder:
         pa.default_memory_pool().release_unused()
         return out
 
-    def _remember(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of blank-led words of letters, these and others met before."""
-        fresh = [w for w in words if w not in self.led]
-        if len(self.led) + len(fresh) > 2 * self.generation:
-            self.led = {w: self.led[w] for w in words if w in self.led}
-        if fresh:
-            blank = BYTE_LETTERS[32]
-            letters = codecs.charmap_decode(" ".join(["", *fresh]).encode(), "strict", BYTE_TABLE)[0]
-            tokenize = self.tokenizer.model.tokenize
-            pieces = letters.replace(blank, "\n" + blank).split("\n")[1:]
-            ids = np.fromiter((t.id for piece in pieces for t in tokenize(piece)), "<u4")
-            # of the tokens of a word, the first one alone begins with the blank
-            ends = [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            self.led.update(zip(fresh, [data[a:b] for a, b in zip(ends, ends[1:])], strict=True))
-        return self.led
+    def _letters(self, words: list[str]) -> tuple[bytes, np.ndarray]:
+        """The ids of blank-led words of letters in a row, and how many bytes each takes."""
+        blank = BYTE_LETTERS[32]
+        letters = codecs.charmap_decode(" ".join(["", *words]).encode(), "strict", BYTE_TABLE)[0]
+        tokenize = self.tokenizer.model.tokenize
+        pieces = letters.replace(blank, "\n" + blank).split("\n")[1:]
+        ids = np.fromiter((t.id for piece in pieces for t in tokenize(piece)), "<u4")
+        # of the tokens of a word, the first one alone begins with the blank
+        ends = np.append(np.flatnonzero(self.begins[ids]), len(ids))
+        return ids.tobytes(), 4 * np.diff(ends)
 
     def _led(self, word: str) -> bytes:
         """The ids of a word led by a blank, or by the line break with which it begins, if what
@@ -217,6 +222,15 @@ class Encoder:
         return self.line_break + self.first[word[1:]]
 
 
+def _binary(data: bytes, lengths: np.ndarray, where: np.ndarray) -> pa.Array:
+    """Values of these lengths out of ``data`` for the places ``where``, empty ones elsewhere."""
+    ends = np.zeros(len(where) + 1, dtype="<i8")
+    ends[1:][where] = lengths
+    np.cumsum(ends, out=ends)
+    buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(where), buffers)
+
+
 def _visible(mark: str) -> bool:
     return bool(mark) and not mark.isspace() and mark not in INVISIBLE
 
