@@ -52,7 +52,8 @@ PART_BYTES = 32 << 20
 #: Text bytes whose words are looked up together.
 TEXT_BYTES = 24 << 20
 
-#: Words that the tokenizing worker remembers, twice, beside the coder's tables.
+#: Words that the tokenizing worker remembers, twice, beside the coder's tables: those that are not
+#: letters and marks, and those of texts with odd blanks.
 REMEMBERED = 150_000
 
 #: Contexts of a block and order.

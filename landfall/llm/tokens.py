@@ -2,8 +2,9 @@
 
 The tokenizer splits a text at white space before anything else, so a blank that stands before a
 visible character always begins a new piece, and the ids of a text are those of its blank-led
-words in a row. A line break between two visible characters is a piece by itself. Words repeat;
-each worker asks the tokenizer for a word once and keeps its ids.
+words in a row. A line break between two visible characters is a piece by itself, and so are marks
+behind letters. Words repeat; each worker asks the tokenizer for a word once and keeps its ids, or
+Arrow finds the different words of many texts.
 """
 
 from __future__ import annotations
