@@ -1,20 +1,20 @@
 """Phrase collocations: exact counts of word sequences per language, and the scores they give.
 
-A phrase is frequent only if its words and parts are (Apriori). Candidates are found level by
-level without counting phrases:
+A phrase is frequent only if its words and parts are (Apriori). The texts are read four times,
+whatever their size:
 
 1. Words are counted per language; ``n`` and the frequent words follow.
-2. Each task sums the pairs of frequent words by hash bucket. A pair is a candidate only if its
+2. The pairs of frequent words are summed by hash bucket. A pair is a candidate only if its
    bucket reaches the least count: buckets only add, so no frequent pair is lost. There are
    sixteen buckets per word of the corpus, so few rare pairs pass.
 3. The same for three words, at positions where both pairs lie in such buckets.
-4. One more scan lists the phrases in the buckets that are left: the candidates.
+4. The phrases in the buckets that are left are dealt out by their hash, to shards of bounded
+   size. A shard sums them by the whole hash, builds a double-array trie of bounded size from
+   those that still reach the least count, walks all phrases that it got through the trie at once
+   and counts the accepting states.
 
-They are counted exactly by double-array tries of bounded size, which are broadcast; each task
-walks all word positions of its texts through a trie at once and counts the accepting states, and
-the tasks' counts are summed. A scan takes a few tries; more candidates take more scans. What else
-is broadcast are the buckets of a block and bit tables of fixed size, which may let a rare word or
-pair through.
+In each scan a task sums up what it finds before it sends it, packed as one row for each shard.
+Broadcast are only bit tables of fixed size, which may let a rare word, pair or triple through.
 
 Words are told apart by 64-bit hashes. Whether any two words of the corpus share one is checked;
 then all is done again with another seed, so counts are exact.
@@ -24,13 +24,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
-from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,19 +42,16 @@ LONGER_SHARE = 50
 SCALE = 1_000_000
 TOP = 2000
 
-#: Buckets that a scan lists the phrases of; further ones take further scans.
+#: Buckets whose phrases a shard counts, and candidates of a trie, about.
 BLOCK = 2_000_000
-
-#: Candidates of a trie, about, and tries that a scan walks through.
 TRIE_PHRASES = 400_000
-TRIES_PER_SCAN = 4
 
-#: Sequences or buckets of which a task sends what it found in one row, and words of a task,
-#: about.
-CHUNK = 65_536
+#: Phrases that a task holds before it sums them up and sends them, and words of the corpus for
+#: each shard, about.
+CHUNK = 2_000_000
 TASK_WORDS = 2_000_000
 
-#: Bits of the tables of frequent words and pairs: 16 MB each at any size of corpus.
+#: Bits of the tables of frequent words, pairs and triples: 16 MB each at any size of corpus.
 TABLE_BITS = 27
 BITMAP = 32_768
 
@@ -73,6 +67,14 @@ PREPARED = FOLD.translate(bytes.maketrans(PIECE_ENDS + b"\t", b"\n" * len(PIECE_
 PAIR_SALT, TRIPLE_SALT = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)
 
 
+def _joined(first: np.ndarray, second: np.ndarray, *third: np.ndarray) -> np.ndarray:
+    """The hashes of phrases of two or three words, by the words' hashes."""
+    h = mixed(first ^ mixed(second + PAIR_SALT))
+    for word in third:
+        h = mixed(h ^ mixed(word + TRIPLE_SALT))
+    return h
+
+
 @dataclass(frozen=True)
 class Words:
     """The words of some texts, in order."""
@@ -110,10 +112,10 @@ class Words:
 
     def pairs(self) -> np.ndarray:
         """A hash of each word and the next."""
-        return mixed(self.hashes[:-1] ^ mixed(self.hashes[1:] + PAIR_SALT))
+        return _joined(self.hashes[:-1], self.hashes[1:])
 
     def triples(self) -> np.ndarray:
-        return mixed(self.pairs()[:-1] ^ mixed(self.hashes[2:] + TRIPLE_SALT))
+        return _joined(self.hashes[:-2], self.hashes[1:-1], self.hashes[2:])
 
 
 def words_of(batch: pa.Table, seed: int) -> Words:
@@ -200,185 +202,178 @@ def _safe(words: Words, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarra
     return at, words.triples()[at]
 
 
-def hot_buckets(docs: DataFrame, seed: int, tables, size: int, bits: int, least: int) -> DataFrame:
+PACKED = "size int, shard int, phrases binary, n binary"
+
+
+def _packed(
+    size: int, shard: np.ndarray, phrases: np.ndarray, n: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """A row for each shard: its lines of ``phrases`` and their counts, ``CHUNK`` lines at a time.
+    ``shard`` ascends."""
+
+    def cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        values = np.ascontiguousarray(values)
+        offsets = (bounds * values.strides[0]).astype("i4")
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(values)]
+        return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, buffers)
+
+    for at in range(0, len(shard), CHUNK):
+        own = slice(at, at + CHUNK)
+        shards = shard[own].astype("i4")
+        first = np.flatnonzero(np.diff(shards, prepend=-1))
+        bounds = np.append(first, len(shards))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(first), size, "i4")),
+                pa.array(shards[first]),
+                cut(phrases[own], bounds),
+                cut(n[own].astype("<u4"), bounds),
+            ],
+            names=["size", "shard", "phrases", "n"],
+        )
+
+
+def _unpacked(table: pa.Table, kind: str) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """(size, shard, phrases, counts) of the rows of one size and shard."""
+    size, shard = (table.column(c)[0].as_py() for c in ("size", "shard"))
+    data, n = (b"".join(table.column(c).to_pylist()) for c in ("phrases", "n"))
+    return size, shard, np.frombuffer(data, kind), np.frombuffer(n, "<u4")
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal ``keys`` begins, and the sum of its ``n``."""
+    first = np.flatnonzero(np.append(len(keys) > 0, keys[1:] != keys[:-1])[: len(keys)])
+    return first, np.add.reduceat(n, first, dtype="i8") if len(first) else first
+
+
+def hot_buckets(
+    docs: DataFrame, seed: int, tables, size: int, bits: int, least: int, shard_bits: int
+) -> DataFrame:
     """(size, bucket): buckets whose phrases of ``size`` words occur ``least`` times together."""
+    # bits of a bucket that its shard does not tell: fewer than 32, as there are at most 64 buckets
+    # for each word of a shard
+    low = bits - shard_bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            bucket, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            offset = (bucket & np.uint64((1 << low) - 1)).astype("<u4")
+            yield from _packed(size, bucket >> np.uint64(low), offset, n)
+
         for batch in gathered(batches):
             words = words_of(batch, seed)
             if len(words.start) < size:
                 continue
             _, hashes = _safe(words, [t.value for t in tables[: size - 1]])
-            bucket, n = np.unique(hashes >> np.uint64(64 - bits), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.astype("i8")), pa.array(n.astype("i4"))], names=["bucket", "n"]
-            )
-
-    sums = docs.mapInArrow(count, "bucket long, n int").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return sums.where(F.col("n") >= least).select(F.lit(size).alias("size"), "bucket")
+            held.append(hashes >> np.uint64(64 - bits))
+            if sum(map(len, held)) >= CHUNK:
+                yield from sent()
+        if held:
+            yield from sent()
 
+    def hot(table: pa.Table) -> pa.Table:
+        _, shard, offset, n = _unpacked(table, "<u4")
+        order = np.argsort(offset)
+        offset, n = offset[order], n[order]
+        first, total = _sums(offset, n)
+        bucket = (shard << low) + offset[first[total >= least]].astype("i8")
+        return pa.table({"size": pa.array(np.full(len(bucket), size, "i4")), "bucket": bucket})
 
-LISTED = "size int, chunk int, salt int, phrases binary"
+    packed = docs.mapInArrow(count, PACKED)
+    return packed.groupBy("size", "shard").applyInArrow(hot, "size int, bucket long")
 
 
-def _distinct(table: pa.Table) -> np.ndarray:
-    """The different phrases of packed rows of one size, a line of hashes each."""
-    size = table.column("size")[0].as_py()
-    data = b"".join(table.column("phrases").to_pylist())
-    lines = np.unique(np.frombuffer(data, np.dtype((np.void, 8 * size))))
-    return np.frombuffer(lines.tobytes(), "<i8").reshape(-1, size)
+def listed(docs: DataFrame, seed: int, tables, shard_bits: int) -> DataFrame:
+    """The phrases that pass ``tables``, by their words' hashes, with how often a task met each:
+    packed by ranges of their hashes, ``1 << shard_bits`` of them."""
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {size: [] for size in range(2, MOST_WORDS + 1)}
 
-def listed(docs: DataFrame, seed: int, tables, hot, bits: int, salts: int) -> DataFrame:
-    """(size, h1, h2, h3): the different phrases in the buckets ``hot``, by their words' hashes.
-
-    A task sends each phrase once, packed by ranges of ``CHUNK`` buckets; they meet by groups of
-    tasks first, ``salts`` of them.
-    """
+        def sent() -> Iterator[pa.RecordBatch]:
+            for size, pieces in held.items():
+                if not pieces:
+                    continue
+                hashes = np.concatenate([h for h, _ in pieces])
+                lines = np.concatenate([x for _, x in pieces])
+                pieces.clear()
+                order = np.argsort(hashes)
+                hashes, lines = hashes[order], lines[order]
+                # neighbours in hash order that are the same phrase
+                first = np.flatnonzero(_differ(lines))
+                n = np.diff(np.append(first, len(lines)))
+                shard = hashes[first] >> np.uint64(64 - shard_bits)
+                yield from _packed(size, shard, lines[first], n)
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # of each bucket the phrase that the task met last
-        met = {size: np.zeros((size, len(b)), dtype="u8") for size, b in hot.value.items()}
-        sent: dict[int, list] = {size: [] for size in met}
         for batch in gathered(batches):
             words = words_of(batch, seed)
-            for size, buckets in hot.value.items():
-                if not len(buckets) or len(words.start) < size:
+            for size, pieces in held.items():
+                if len(words.start) < size:
                     continue
                 at, hashes = _safe(words, [t.value for t in tables[: size - 1]])
-                bucket = (hashes >> np.uint64(64 - bits)).astype("i8")
-                place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
-                hit = buckets[place] == bucket
-                at, place, hashes = at[hit], place[hit], hashes[hit]
-                parts = np.stack([words.hashes[at + i] for i in range(size)])
-                new = np.flatnonzero((parts != met[size][:, place]).any(axis=0))
-                new = new[np.argsort(hashes[new], kind="stable")]
-                parts, place = parts[:, new], place[new]
-                # neighbours in hash order that are the same phrase
-                first = np.ones(len(new), dtype=bool)
-                first[1:] = (parts[:, 1:] != parts[:, :-1]).any(axis=0)
-                parts, place = parts[:, first], place[first]
-                met[size][:, place] = parts
-                sent[size].append((place // CHUNK, parts))
-        rows = []
-        salt = TaskContext.get().partitionId() % salts
-        for size, pieces in sent.items():
-            if not pieces:
-                continue
-            chunk = np.concatenate([c for c, _ in pieces])
-            parts = np.concatenate([p for _, p in pieces], axis=1)
-            order = np.argsort(chunk, kind="stable")
-            chunk, lines = chunk[order], np.ascontiguousarray(parts[:, order].T)
-            for number in np.unique(chunk).tolist():
-                own = slice(*np.searchsorted(chunk, [number, number + 1]))
-                rows.append((size, number, salt, lines[own].tobytes()))
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        columns = [pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 4, kinds)]
-        yield pa.RecordBatch.from_arrays(columns, names=["size", "chunk", "salt", "phrases"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        lines = pa.array([_distinct(table).tobytes()], pa.binary())
-        return table.slice(0, 1).drop(["phrases"]).append_column("phrases", lines)
-
-    def apart(table: pa.Table) -> pa.Table:
-        lines = _distinct(table)
-        size = lines.shape[1]
-        hashes = np.zeros((len(lines), MOST_WORDS), dtype="i8")
-        hashes[:, :size] = lines
-        columns = {f"h{i + 1}": hashes[:, i] for i in range(MOST_WORDS)}
-        return pa.table({"size": pa.array(np.full(len(lines), size, "i4")), **columns})
-
-    packed = docs.mapInArrow(found, LISTED)
-    if salts > 1:
-        packed = packed.groupBy("size", "chunk", "salt").applyInArrow(merge, LISTED)
-    return packed.groupBy("size", "chunk").applyInArrow(
-        apart, "size int, h1 long, h2 long, h3 long"
-    )
-
-
-def _packed(total: np.ndarray) -> tuple[bytes, bytes]:
-    """The places that are not zero, of two bytes each, and their counts of four, or of eight if
-    one needs them."""
-    at = np.flatnonzero(total)
-    kind = "<u4" if total.max(initial=0) < 2**32 else "<i8"
-    return at.astype("<u2").tobytes(), total[at].astype(kind).tobytes()
+                hit = in_table(tables[size - 1].value, hashes)
+                at = at[hit]
+                lines = np.stack([words.hashes[at + i] for i in range(size)], axis=1)
+                pieces.append((hashes[hit], lines))
+            if sum(len(h) for pieces in held.values() for h, _ in pieces) >= CHUNK:
+                yield from sent()
+        yield from sent()
 
+    return docs.mapInArrow(found, PACKED)
 
-def _unpacked_sum(table: pa.Table) -> np.ndarray:
-    total = np.zeros(CHUNK, dtype="i8")
-    for at, n in zip(table.column("at").to_pylist(), table.column("n").to_pylist()):
-        at = np.frombuffer(at, "<u2")
-        total[at] += np.frombuffer(n, "<u4" if len(n) == 4 * len(at) else "<i8")
-    return total
 
+def _differ(lines: np.ndarray) -> np.ndarray:
+    """Whether each line differs from the one before; the first does."""
+    out = np.ones(len(lines), dtype=bool)
+    out[1:] = (lines[1:] != lines[:-1]).any(axis=1)
+    return out
 
-COUNTS = "trie int, chunk int, salt int, at binary, n binary"
-
-
-def counted_by_tries(docs: DataFrame, seed: int, tries: list, salts: int) -> DataFrame:
-    """(cid, n): how often each sequence of the broadcast ``tries`` (trie, cids) occurs.
-
-    A task sends its counts in chunks of ``CHUNK`` sequences, so their sum takes a few rows per
-    task. They are summed by groups of tasks first, ``salts`` of them.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [shared.value[0] for shared in tries]
-        totals = [np.zeros(trie.sequences, dtype="i8") for trie in held]
-        for batch in gathered(batches):
-            words = words_of(batch, seed)
-            for trie, total in zip(held, totals):
-                total += trie.counts(words.hashes, words.follows, MOST_WORDS)
-        salt = TaskContext.get().partitionId() % salts
-        rows = [
-            (number, at // CHUNK, salt, *_packed(total[at : at + CHUNK]))
-            for number, total in enumerate(totals)
-            for at in range(0, len(total), CHUNK)
-        ]
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        columns = [pa.array(list(c), k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)]
-        yield pa.RecordBatch.from_arrays(columns, names=["trie", "chunk", "salt", "at", "n"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        at, n = _packed(_unpacked_sum(table))
-        return table.slice(0, 1).select(["trie", "chunk", "salt"]).append_column(
-            "at", pa.array([at], pa.binary())
-        ).append_column("n", pa.array([n], pa.binary()))
-
-    def named(table: pa.Table) -> pa.Table:
-        total = _unpacked_sum(table)
-        seen = np.flatnonzero(total)
-        cid = tries[table.column("trie")[0].as_py()].value[1]
+def counted_by_tries(packed: DataFrame, least: int, trie_phrases: int) -> DataFrame:
+    """(size, h1, h2, h3, n): the phrases of ``listed`` that occur ``least`` times or more."""
+
+    def count(table: pa.Table) -> pa.Table:
+        size, _, words, n = _unpacked(table, "<u8")
+        lines = words.reshape(-1, size)
+        hashes = _joined(*(lines[:, i] for i in range(size)))
+        order = np.argsort(hashes)
+        hashes, lines, n = hashes[order], lines[order], n[order]
+        # phrases of one hash only add, so no frequent one is lost
+        first, total = _sums(hashes, n)
+        enough = np.repeat(total >= least, np.diff(np.append(first, len(hashes))))
+        hashes, lines, n = hashes[enough], lines[enough], n[enough].astype("i8")
+        new = _differ(lines)
+        candidates = lines[new]
+        if len(np.unique(hashes)) < len(candidates):  # different phrases of one hash
+            candidates = np.unique(candidates, axis=0)
+        weights = np.zeros(lines.shape, dtype="i8")
+        weights[:, 0] = n
+        follows = np.ones(lines.shape, dtype=bool)
+        follows[:, -1] = False
+        counts = np.zeros(len(candidates), dtype="i8")
+        for at in range(0, len(candidates), trie_phrases):
+            own = candidates[at : at + trie_phrases]
+            trie = Trie.built(own, np.full(len(own), size))
+            counts[at : at + trie_phrases] = trie.counts(
+                lines.ravel(), follows.ravel(), size, weights.ravel()
+            )
+        kept = counts >= least
+        out = np.zeros((MOST_WORDS, int(kept.sum())), dtype="u8")
+        out[:size] = candidates[kept].T
         return pa.table(
-            {"cid": cid[seen + table.column("chunk")[0].as_py() * CHUNK], "n": total[seen]}
+            {
+                "size": pa.array(np.full(out.shape[1], size, "i4")),
+                **{f"h{i + 1}": _signed(h) for i, h in enumerate(out)},
+                "n": counts[kept],
+            }
         )
 
-    sent = docs.mapInArrow(count, COUNTS)
-    if salts > 1:
-        sent = sent.groupBy("trie", "chunk", "salt").applyInArrow(merge, COUNTS)
-    return sent.groupBy("trie", "chunk").applyInArrow(named, "cid long, n long")
-
-
-def exact_counts(
-    docs: DataFrame, seed: int, candidates: DataFrame, least: int, trie_phrases: int, salts: int
-) -> list[DataFrame]:
-    """The stored ``candidates`` (cid, size, h1, h2, h3) with ``n``, where that is ``least`` or
-    more. The driver builds one trie at a time."""
-    n_tries = max(1, -(-candidates.count() // trie_phrases))
-    number = F.pmod(F.xxhash64("h1", "h2"), F.lit(n_tries))
-
-    def built(which: int):
-        rows = candidates.where(number == which).toArrow()
-        hashes = np.stack([rows.column(c).to_numpy() for c in ("h1", "h2", "h3")], axis=1)
-        trie = Trie.built(hashes.view("u8"), rows.column("size").to_numpy().astype("i8"))
-        return docs.sparkSession.sparkContext.broadcast((trie, rows.column("cid").to_numpy()))
-
-    found = []
-    for first in range(0, n_tries, TRIES_PER_SCAN):
-        tries = [built(i) for i in range(first, min(first + TRIES_PER_SCAN, n_tries))]
-        counts = counted_by_tries(docs, seed, tries, salts).where(F.col("n") >= least)
-        found.append(stored(candidates.join(counts, "cid").drop("cid"), "phrase-counts"))
-    return found
+    return packed.groupBy("size", "shard").applyInArrow(
+        count, "size int, h1 long, h2 long, h3 long, n long"
+    )
 
 
 def frequent_phrases(
@@ -402,8 +397,7 @@ def frequent_phrases(
     total = languages.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = min(62, max(TABLE_BITS, (16 * total).bit_length()))
     words = words.where(F.col("n") >= least)
-    # about the root of the number of tasks
-    salts = 1 + isqrt(total // TASK_WORDS)
+    shard_bits = max(1, (total // TASK_WORDS).bit_length())
 
     def upper(column: str, width: int) -> Column:
         """The upper bits of a number of ``width`` bits."""
@@ -411,26 +405,15 @@ def frequent_phrases(
 
     share = spark.sparkContext.broadcast
     tables = [share(bit_table(words, upper("h", 64)))]
-    hot = []
+    hot = 0
     for size in range(2, MOST_WORDS + 1):
-        sums = hot_buckets(docs, seed, tables, size, bits, least)
-        hot.append(stored(sums, f"phrase-buckets-{size}"))
-        if size < MOST_WORDS:
-            tables.append(share(bit_table(hot[-1], upper("bucket", bits))))
-    every = reduce(DataFrame.union, hot)
-    blocks = max(1, -(-every.count() // block))
-    parts = []
-    for number in range(blocks):
-        of_block = F.pmod(F.xxhash64("size", "bucket"), F.lit(blocks)) == number
-        rows = every.where(of_block).toArrow()
-        sizes, buckets = (rows.column(c).to_numpy() for c in ("size", "bucket"))
-        known = {s: np.sort(buckets[sizes == s]) for s in range(2, MOST_WORDS + 1)}
-        chosen = listed(docs, seed, tables, share(known), bits, salts)
-        candidates = stored(
-            chosen.withColumn("cid", F.monotonically_increasing_id()), "phrase-candidates"
-        )
-        parts += exact_counts(docs, seed, candidates, least, trie_phrases, salts)
-    return languages, words, reduce(DataFrame.union, parts)
+        found = hot_buckets(docs, seed, tables, size, bits, least, shard_bits)
+        buckets = stored(found, f"phrase-buckets-{size}")
+        tables.append(share(bit_table(buckets, upper("bucket", bits))))
+        hot += buckets.count()
+    packed = listed(docs, seed, tables, max(shard_bits, (hot // block).bit_length()))
+    counted = counted_by_tries(packed, least, trie_phrases)
+    return languages, words, stored(counted, "phrase-counts")
 
 
 def _score(a: str, left: str, right: str) -> Column:

@@ -126,11 +126,18 @@ class Trie:
         to = self.base[state] + digit
         return to, self.check[to] == state
 
-    def counts(self, words: np.ndarray, follows: np.ndarray, most: int) -> np.ndarray:
+    def counts(
+        self,
+        words: np.ndarray,
+        follows: np.ndarray,
+        most: int,
+        weights: np.ndarray | None = None,
+    ) -> np.ndarray:
         """How often each sequence, of up to ``most`` words, begins at a word of ``words``.
 
-        ``follows``: whether the next word goes on with the same piece of text. All positions
-        take their steps together; those without a child drop out.
+        ``follows``: whether the next word goes on with the same piece of text. ``weights``: how
+        often each word counts as a beginning, once if not given. All positions take their steps
+        together; those without a child drop out.
         """
         total = np.zeros(self.sequences, dtype="i8")
         if not len(self.vocabulary) or not len(words):
@@ -138,7 +145,7 @@ class Trie:
         symbol = np.searchsorted(self.vocabulary, words)
         symbol[symbol == len(self.vocabulary)] = 0
         known = self.vocabulary[symbol] == words
-        at = np.flatnonzero(known)
+        at = np.flatnonzero(known if weights is None else known & (weights > 0))
         state = np.full(len(at), self.root, dtype="i8")
         for level in range(most):
             if level:
@@ -152,5 +159,9 @@ class Trie:
                 state, live = self._step(state, digit)
                 at, state = at[live], state[live]
             ended = self.accept[state]
-            total += np.bincount(ended[ended >= 0], minlength=self.sequences)
+            hit = ended >= 0
+            # as doubles, which hold whole numbers below 2 ** 53
+            each = None if weights is None else weights[at[hit]]
+            n = np.bincount(ended[hit], each, minlength=self.sequences)
+            total += n.astype("i8")
         return total

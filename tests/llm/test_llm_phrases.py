@@ -69,6 +69,47 @@ def test_awkward_rows_equal_brute_force(spark, block, trie):
         assert {"und", "en", "es"} <= {r[0] for r in got}
 
 
+@pytest.mark.parametrize(("block", "trie"), [(10**6, 10**6), (7, 3)])
+def test_texts_are_read_four_times_whatever_the_candidates(spark, block, trie):
+    """Scans must not grow with the candidates, which grow with the corpus."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        words = [f"w{k}" for k in rng.integers(0, 12, 60)]
+        rows.append((i, " ".join(words), ["en", "de"][i % 2], "s"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(r[2], r[1]) for r in rows], "lang string, text string")
+    docs = docs.repartition(3).mapInArrow(counted, docs.schema)
+    got = found(phrases.collocations(docs, block=block, trie_phrases=trie))
+    assert got == plain_collocations([(r[2], r[1]) for r in rows], 10)
+    assert len(got) > 200
+    assert read.value == 4 * len(rows)
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_phrases_of_one_hash_are_counted_apart(spark, monkeypatch, least):
+    """A shard that sees seven different hashes of phrases only tells them apart by tries."""
+    joined = phrases._joined
+
+    def clashing(*words):
+        return joined(*words) % np.uint64(7) << np.uint64(61)
+
+    monkeypatch.setattr(phrases, "_joined", clashing)
+    rng = np.random.default_rng(9)
+    rows = [
+        (i, " ".join(f"w{k}" for k in rng.integers(0, 9, 25)), ["en", "de"][i % 2], "s")
+        for i in range(12)
+    ]
+    got = found(phrases.collocations(fx.documents(spark, rows), least=least, trie_phrases=11))
+    assert got == plain_collocations([(r[2], r[1]) for r in rows], least)
+
+
 def test_nothing_frequent_and_no_rows(spark):
     assert phrases.collocations(fx.documents(spark, [(1, "a b c", "en", "s")])).count() == 0
     assert phrases.collocations(fx.documents(spark, [])).count() == 0
@@ -149,6 +190,21 @@ def test_trie_counts_equal_brute_force(seed):
     assert (trie.base[trie.check[used]] <= used).all()
 
 
+def test_trie_counts_with_weights_equal_brute_force():
+    rng = np.random.default_rng(4)
+    vocabulary = rng.integers(1, 2**63, 30).astype("u8")
+    lines = np.unique(vocabulary[rng.integers(0, 30, (300, 2))], axis=0)
+    trie = tries.Trie.built(lines, np.full(len(lines), 2))
+    text, weights = vocabulary[rng.integers(0, 30, 4000)], rng.integers(0, 3, 4000)
+    follows = rng.random(4000) < 0.8
+    follows[-1] = False
+    plain = Counter()
+    for i in np.flatnonzero(follows).tolist():
+        plain[tuple(text[i : i + 2].tolist())] += int(weights[i])
+    expected = [plain[tuple(w.tolist())] for w in lines]
+    assert trie.counts(text, follows, 2, weights).tolist() == expected
+
+
 def test_empty_trie():
     trie = tries.Trie.built(np.empty((0, 3), dtype="u8"), np.empty(0, dtype="i8"))
     assert trie.counts(np.array([1, 2], dtype="u8"), np.array([True, False]), 3).tolist() == []
