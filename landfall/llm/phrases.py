@@ -48,7 +48,7 @@ TRIE_PHRASES = 400_000
 
 #: Phrases that a task holds before it sums them up and sends them, and words of the corpus for
 #: each shard, about.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 TASK_WORDS = 2_000_000
 
 #: Bits of the tables of frequent words, pairs and triples: 16 MB each at any size of corpus.
@@ -297,15 +297,15 @@ def listed(docs: DataFrame, seed: int, tables, shard_bits: int) -> DataFrame:
             for size, pieces in held.items():
                 if not pieces:
                     continue
-                hashes = np.concatenate([h for h, _ in pieces])
-                lines = np.concatenate([x for _, x in pieces])
+                lines = np.concatenate(pieces)
                 pieces.clear()
+                hashes = _joined(*lines.T)
                 order = np.argsort(hashes)
-                hashes, lines = hashes[order], lines[order]
+                lines = lines[order]
                 # neighbours in hash order that are the same phrase
                 first = np.flatnonzero(_differ(lines))
                 n = np.diff(np.append(first, len(lines)))
-                shard = hashes[first] >> np.uint64(64 - shard_bits)
+                shard = hashes[order[first]] >> np.uint64(64 - shard_bits)
                 yield from _packed(size, shard, lines[first], n)
 
         for batch in gathered(batches):
@@ -316,9 +316,8 @@ def listed(docs: DataFrame, seed: int, tables, shard_bits: int) -> DataFrame:
                 at, hashes = _safe(words, [t.value for t in tables[: size - 1]])
                 hit = in_table(tables[size - 1].value, hashes)
                 at = at[hit]
-                lines = np.stack([words.hashes[at + i] for i in range(size)], axis=1)
-                pieces.append((hashes[hit], lines))
-            if sum(len(h) for pieces in held.values() for h, _ in pieces) >= CHUNK:
+                pieces.append(np.stack([words.hashes[at + i] for i in range(size)], axis=1))
+            if sum(len(x) for pieces in held.values() for x in pieces) >= CHUNK:
                 yield from sent()
         yield from sent()
 
@@ -338,7 +337,7 @@ def counted_by_tries(packed: DataFrame, least: int, trie_phrases: int) -> DataFr
     def count(table: pa.Table) -> pa.Table:
         size, _, words, n = _unpacked(table, "<u8")
         lines = words.reshape(-1, size)
-        hashes = _joined(*(lines[:, i] for i in range(size)))
+        hashes = _joined(*lines.T)
         order = np.argsort(hashes)
         hashes, lines, n = hashes[order], lines[order], n[order]
         # phrases of one hash only add, so no frequent one is lost
